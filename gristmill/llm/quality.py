@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import pu, tokens
 from .common import held_out, small_batches
@@ -104,25 +105,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs but those of its own names, with score, for every row."""
+    """docs with __score, for every row."""
     small_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c != "score"]
 
     def scored(parts):
         for part in parts:
             for batch in tokens.batches(part):
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model(inputs(batch)))], [*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model(inputs(batch)))], [*batch.schema.names, "__score"])
 
-    schema = docs.select(*keep).schema
-    return docs.select(*keep).mapInArrow(scored, schema.add("score", "double"))
+    return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of docs."""
     out = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, with their columns."""
-    return score(docs, fit(docs, labels)).where(F.col("score") >= THRESHOLD).select(*docs.columns)
+    return score(docs, fit(docs, labels)).where(F.col("__score") >= THRESHOLD).select(*docs.columns)
