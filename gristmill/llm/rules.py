@@ -94,7 +94,8 @@ def normal(line: Column) -> Column:
 
 def line_losses(docs: DataFrame) -> DataFrame:
     """doc_id, host, text hash and lost, the words in lines above the limit; only documents with such lines."""
-    rows = docs.select("doc_id", F.col("source").alias("host"), F.xxhash64("text").alias("t1"), "text")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("t1"), text.alias("text"))
     lines = rows.select("doc_id", "host", "t1", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     lines = lines.withColumn("n", F.regexp_count("line", F.lit(WORD))).where("n > 0")
     lines = lines.select("doc_id", "host", "t1", "at", "n", *key128(normal(F.col("line"))))
@@ -110,7 +111,7 @@ def line_losses(docs: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the base numbers, base_failed and kept of every row of docs."""
-    rows = docs.select("doc_id", F.coalesce(F.concat(F.lit("h"), "source"), F.lit("")).alias("hk"), F.xxhash64("text").alias("t1"), "text")
+    rows = docs.select("doc_id", F.coalesce(F.concat(F.lit("h"), "source"), F.lit("")).alias("hk"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), "text")
     base = measure(rows)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     lost = line_losses(docs).select(F.col("doc_id").alias("__d"), F.col("hk").alias("__h"), F.col("t1").alias("__t"), "lost")
