@@ -9,8 +9,10 @@ neighbour fell there, until it has made as many probes as the fitted target
 recall takes, and never fewer than give it k other vectors.
 
 Probes and vectors meet by bucket, large buckets in blocks of BLOCK vectors, in
-matrix products that keep the best of each block; these are merged over tables
-and scored again, in double precision, on the original vectors.
+matrix products that keep the best of each block, scored again in double
+precision on the original vectors. The most likely bucket of each table comes
+first; its best bound what the other buckets need to send on, so that what is
+merged over tables doesn't grow with the number of probes.
 
 Equal vectors are one class that carries its k + 1 smallest ids, which is all
 that any query can return of it.
@@ -36,7 +38,7 @@ from .common import cut
 
 K, TABLES, CELLS, MAX_FUNCTIONS = 20, 4, 4, 6
 #: Vectors (and as many as a fifth of them as queries) that the numbers of probes are fitted on.
-SAMPLE, TARGET, BLOCK, PER_BUCKET = 4096, 0.97, 4096, 64
+SAMPLE, TARGET, BLOCK, PER_BUCKET = 4096, 0.95, 4096, 2048
 
 
 @dataclass
@@ -90,20 +92,30 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float64).reshape(len(column), -1)
 
 
+def plain(vectors: DataFrame):
+    """The embedding in its own kind of number, without negative zeros."""
+    kind = "array<float>" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "array<double>"
+    return F.transform(F.col("embedding").cast("array<double>"), lambda x: x + 0.0).cast(kind)
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """vec_id and embedding of the vectors that take part, each vec_id once."""
+    v = F.col("embedding")
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    rows = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False))).select("vec_id", plain(vectors).alias("embedding"))
+    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
 def clean(vectors: DataFrame, k: int) -> DataFrame:
     """class_id, embedding and ids: distinct usable vectors, each with its k + 1 smallest ids."""
-    v = F.col("embedding").cast("array<double>")
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False))).select("vec_id", F.transform(v, lambda x: x + 0.0).alias("embedding"))
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     nth = F.row_number().over(W.Window.partitionBy("embedding").orderBy("vec_id"))
-    few = rows.withColumn("nth", nth).where(F.col("nth") <= k + 1)
+    few = usable(vectors).withColumn("nth", nth).where(F.col("nth") <= k + 1)
     return few.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("class_id"), "embedding", "ids")
 
 
 def fit(index: DataFrame, k: int, seed: int = 5) -> Plan | None:
     """Choose widths and numbers of probes on a bounded sample, bucket sizes over all classes."""
-    n, r2, shortest, longest = index.select(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x).alias("q"), F.size("embedding").alias("d")).agg(F.count("*"), F.max("q"), F.min("d"), F.max("d")).first()
+    n, r2, shortest, longest = index.select(F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x).alias("q"), F.size("embedding").alias("d")).agg(F.count("*"), F.max("q"), F.min("d"), F.max("d")).first()
     if not n:
         return None
     if shortest != longest:
@@ -146,13 +158,12 @@ def _counted(parts, plan: Plan):
                 yield pd.DataFrame({"t": t, "bucket": v, "n": n})
 
 
-def _best(q: np.ndarray, q_class: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
-    """Row numbers of the k + 1 best of x for each q, and those near enough to be best in other roundings."""
+def _best(q: np.ndarray, x: np.ndarray, k: int, bound: np.ndarray):
+    """Row numbers of the k + 1 best of x for each q that reach its bound, and those as good in other roundings."""
     s = q @ x.T
     if s.shape[1] > k + 1:
-        kth = np.partition(s, -(k + 1), axis=1)[:, -(k + 1)]
-        return np.nonzero(s >= (kth - 1e-9 * np.maximum(1, np.abs(kth)))[:, None])
-    return np.nonzero(np.ones_like(s, bool))
+        bound = np.maximum(bound, np.partition(s, -(k + 1), axis=1)[:, -(k + 1)])
+    return np.nonzero(s >= (bound - 1e-9 * np.maximum(1, np.abs(np.nan_to_num(bound, neginf=0))))[:, None])
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
@@ -163,8 +174,10 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     plan = fit(index, k)
     if plan is None:
         return spark.createDataFrame([], empty)
-    v = F.transform(vectors["embedding"].cast("array<double>"), lambda x: x + 0.0)
-    queries = index.where(F.exists("ids", lambda i: i % every == 0)).select("class_id", "embedding")
+    # a query's class is found by its vector: a large class doesn't carry all its ids
+    of_query = usable(vectors).where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("e"))
+    own = cut(of_query.join(index.select("class_id", "embedding"), F.col("e") == F.col("embedding")).select("query_id", F.col("class_id").alias("query")), "own")
+    queries = index.select("class_id", "embedding").join(own.select(F.col("query").alias("class_id")).distinct(), "class_id")
     blocks = np.maximum(1, -(-plan.sizes // BLOCK))
 
     def members(parts):
@@ -176,7 +189,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
                 block = (part["class_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[t][b[t]]
                 yield pd.DataFrame({"t": t, "bucket": b[t], "block": block, "class_id": part["class_id"], "embedding": part["embedding"]})
 
-    def probes(parts):
+    def probes(parts, late: bool):
+        """A query's most likely bucket of each table, or (late) all others that it visits."""
         for part in parts:
             for lo in range(0, len(part), 256):
                 some = part.iloc[lo : lo + 256]
@@ -186,12 +200,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
                     before = np.column_stack([np.zeros(len(some), np.int64), seen[:, :-1]])
                     visit = (np.arange(order.shape[2]) < plan.probes) | (before <= k)
                     visit &= plan.sizes[t][order[t]] > 0
+                    visit &= (np.arange(order.shape[2]) > 0) == late
                     row, nth = np.nonzero(visit)
                     bucket = order[t][row, nth]
                     times = blocks[t][bucket]
                     row, bucket = np.repeat(row, times), np.repeat(bucket, times)
                     block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    yield pd.DataFrame({"t": t, "bucket": bucket, "block": block, "class_id": some["class_id"].to_numpy()[row], "embedding": some["embedding"].to_numpy()[row]})
+                    yield pd.DataFrame({"t": t, "bucket": bucket, "block": block, "class_id": some["class_id"].to_numpy()[row], "embedding": some["embedding"].to_numpy()[row], "bound": some["bound"].to_numpy()[row]})
 
     def met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -201,19 +216,28 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
         for lo in range(0, len(left), 512):
             q = _matrix(left["embedding"].iloc[lo : lo + 512])
             of = left["class_id"].to_numpy()[lo : lo + 512]
-            i, j = _best(q, of, x, ids, k)
+            i, j = _best(q, x, k, left["bound"].to_numpy()[lo : lo + 512])
             out.append(pd.DataFrame({"query": of[i], "class_id": ids[j], "score": (q[i] * x[j]).sum(1)}))
         return pd.concat(out)
 
-    schema = "t int, bucket int, block int, class_id long, embedding array<double>"
+    schema = f"t int, bucket int, block int, class_id long, embedding {index.schema['embedding'].dataType.simpleString()}"
     at = ["t", "bucket", "block"]
-    found = queries.mapInPandas(probes, schema).groupBy(*at).cogroup(index.select("class_id", "embedding").mapInPandas(members, schema).groupBy(*at)).applyInPandas(met, "query long, class_id long, score double")
+    held = index.select("class_id", "embedding").mapInPandas(members, schema).groupBy(*at)
+
+    def meet(asking: DataFrame, late: bool) -> DataFrame:
+        sent = asking.mapInPandas(lambda parts: probes(parts, late), f"{schema}, bound double")
+        return sent.groupBy(*at).cogroup(held).applyInPandas(met, "query long, class_id long, score double").distinct()
+
     # each class once; a query's own class counts, so k + 1 classes hold k other ids at least
     nearest = W.Window.partitionBy("query").orderBy(F.col("score").desc(), "class_id")
-    found = found.distinct().withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k + 1)
+    top = lambda rows: rows.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k + 1).select("query", "class_id", "score")
+    low = F.lit(float("-inf"))
+    first = cut(top(meet(queries.withColumn("bound", low), False)), "nearest")
+    # what the first probes found is a bound for the others: less than the (k + 1)th best can't be among the best
+    reached = first.groupBy(F.col("query").alias("class_id")).agg(F.when(F.count("*") > k, F.min("score")).alias("bound"))
+    rest = meet(queries.join(reached, "class_id", "left").withColumn("bound", F.coalesce("bound", low)), True)
+    found = top(first.union(rest).distinct())
     named = found.join(index.select("class_id", "ids"), "class_id").select("query", "score", F.explode("ids").alias("vec_id"))
-    of_query = vectors.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), v.alias("e")).groupBy("query_id").agg(F.min("e").alias("e"))
-    own = of_query.join(index.select("class_id", "embedding"), F.col("e") == F.col("embedding")).select("query_id", F.col("class_id").alias("query"))
     best = W.Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     out = own.join(named, "query").where("vec_id <> query_id").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")
