@@ -45,14 +45,16 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], salts: int = SALTS) -> DataFrame:
+def salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], salts: int = SALTS, hint: str | None = None) -> DataFrame:
     """left join right, where right has each key once and one key may hold a large share of left.
 
     Left rows go to one of `salts` parts by the columns of spread, and right's
-    rows are sent to all of these parts.
+    rows are sent to all of these parts. hint "merge" keeps right from being
+    broadcast where it happens to be small.
     """
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = copies.hint(hint) if hint else copies
     return left.withColumn("__salt", salt).join(copies, [*keys, "__salt"], "left").drop("__salt")
 
 

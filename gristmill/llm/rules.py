@@ -17,19 +17,22 @@ text; an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import key128, salted_left_join, small_batches
+from .common import cut, salted_left_join, small_batches
 
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
 MIN_TEXTS, SHARE, KEEP = 20, 0.02, 0.3
 _SYMBOL = tokens.separators(b"#*$%&|<>")
-WORD = r"[^ \t-\r]+"
+_BLANK = " \t\n\x0b\x0c\r"
+_DIGITS = {ord(c): "0" for c in "123456789"}
 
 
 def _repeats(h: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -51,14 +54,16 @@ def _repeats(h: np.ndarray, of: np.ndarray) -> np.ndarray:
     return tokens.per_text(np.cumsum(edge)[:-1] > 0, of)
 
 
-def _dup_lines(text: str) -> int:
-    """Lines with a word that equal an earlier line."""
-    seen, n = set(), 0
-    for line in text.split("\n"):
-        if line.strip(" \t\n\x0b\x0c\r"):
-            n += line in seen
+def _lines(text: str, n_words: np.ndarray) -> tuple[int, dict[bytes, int]]:
+    """Lines with a word that equal an earlier line; and each distinct normal line's hash with its words."""
+    seen, repeated, held = set(), 0, {}
+    for line, n in zip(text.split("\n"), n_words.tolist(), strict=True):
+        if n:
+            repeated += line in seen
             seen.add(line)
-    return n
+            key = hashlib.blake2b(line.strip(_BLANK).lower().translate(_DIGITS).encode(), digest_size=16).digest()
+            held[key] = held.get(key, 0) + n
+    return repeated, held
 
 
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -69,53 +74,55 @@ def _measured(parts):
         for batch in tokens.batches(part):
             column = batch.column(batch.schema.get_field_index("text"))
             buf, at = tokens.raw(column)
-            h, of, _ = tokens.word_hashes(buf, at)
-            found = [
+            h, of, starts = tokens.word_hashes(buf, at)
+            # words of each line, by where lines and words start
+            heads = np.sort(np.concatenate([at[:-1], np.flatnonzero(buf == 10) + 1]), kind="stable")
+            per_line = np.diff(np.append(np.searchsorted(starts, heads), len(starts)))
+            lines_of = np.append(0, np.cumsum(1 + tokens.per_text(buf == 10, at)))
+            found = [_lines(t or "", per_line[lines_of[i] : lines_of[i + 1]]) for i, t in enumerate(column.to_pylist())]
+            held = [x for _, x in found]
+            keys = np.frombuffer(b"".join(k for x in held for k in x), "<i8").reshape(-1, 2)
+            flat = pa.StructArray.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([n for x in held for n in x.values()], pa.int64())], ["k1", "k2", "n"])
+            numbers = [
                 np.diff(of),
                 tokens.per_text(~tokens.WORDS[buf] & ((buf & 0xC0) != 0x80), at),
                 tokens.per_text(_SYMBOL[buf], at),
-                np.array([_dup_lines(t or "") for t in column.to_pylist()], np.int64),
+                np.array([n for n, _ in found], np.int64),
                 _repeats(h, of),
             ]
             keep = [i for i, name in enumerate(batch.schema.names) if name != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *(pa.array(x.astype(np.int64)) for x in found)], [*(batch.schema.names[i] for i in keep), *NAMES])
+            listed = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in held])), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *(pa.array(x.astype(np.int64)) for x in numbers), listed], [*(batch.schema.names[i] for i in keep), *NAMES, "lines"])
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """docs without text, with the five base numbers of each row."""
+    """docs without text, with the five base numbers and the lines (hash and words) of each row."""
     small_batches(docs.sparkSession)
-    schema = T.StructType([*docs.drop("text").schema.fields, *(T.StructField(name, T.LongType()) for name in NAMES)])
-    return docs.mapInArrow(_measured, schema)
-
+    fields = [*docs.drop("text").schema.fields, *(T.StructField(name, T.LongType()) for name in NAMES)]
+    return docs.mapInArrow(_measured, T.StructType([*fields, T.StructField("lines", T.ArrayType(T.StructType([T.StructField(k, T.LongType()) for k in ("k1", "k2", "n")])))]))
 
-def normal(line: Column) -> Column:
-    return F.translate(F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))), "123456789", "000000000")
 
+def losses(base: DataFrame) -> DataFrame:
+    """row and lost, the words in lines above the limit; only rows with such lines.
 
-def line_losses(docs: DataFrame) -> DataFrame:
-    """doc_id, host, text hash and lost, the words in lines above the limit; only documents with such lines."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("t1"), text.alias("text"))
-    lines = rows.select("doc_id", "host", "t1", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    lines = lines.withColumn("n", F.regexp_count("line", F.lit(WORD))).where("n > 0")
-    lines = lines.select("doc_id", "host", "t1", "at", "n", *key128(normal(F.col("line"))))
-    per_doc = lines.groupBy("doc_id", "host", "t1", "k1", "k2").agg(F.collect_set(F.struct("at", "n")).alias("held"))
-    per_doc = per_doc.withColumn("n", F.aggregate("held", F.lit(0), lambda s, x: s + x["n"])).drop("held")  # a repeated row counts once
-    texts = per_doc.select("host", "k1", "k2", "t1").distinct().groupBy("host", "k1", "k2").agg(F.count("*").alias("texts"))
-    hosts = rows.select("host", "t1").distinct().groupBy("host").agg(F.count("*").alias("all"))
-    over = texts.where(F.col("texts") > MIN_TEXTS).join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
-    over = over.where(F.col("texts") > SHARE * F.col("all")).select(F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")).alias("hk"), "k1", "k2", F.lit(True).alias("hit"))
-    found = salted_left_join(per_doc.withColumn("hk", F.coalesce(F.concat(F.lit("h"), "host"), F.lit(""))), over, ["hk", "k1", "k2"], ["doc_id", "t1"])
-    return found.where("hit").groupBy("doc_id", "hk", "t1").agg(F.sum("n").alias("lost"))
+    base has row, host and t1 (hashes of host and text) and lines.
+    """
+    lines = base.select("row", "host", "t1", F.inline("lines"))
+    texts = lines.select("host", "k1", "k2", "t1").distinct().groupBy("host", "k1", "k2").agg(F.count("*").alias("texts"))
+    hosts = base.select("host", "t1").distinct().groupBy("host").agg(F.count("*").alias("all"))
+    over = texts.where(F.col("texts") > MIN_TEXTS).join(hosts, "host").where(F.col("texts") > SHARE * F.col("all"))
+    # the lines above the limit grow with the corpus, so they aren't broadcast at any size
+    found = salted_left_join(lines.select("row", "host", "k1", "k2", "n"), over.select("host", "k1", "k2", "texts"), ["host", "k1", "k2"], ["row"], hint="merge")
+    return found.where("texts is not null").groupBy("row").agg(F.sum("n").alias("lost"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the base numbers, base_failed and kept of every row of docs."""
-    rows = docs.select("doc_id", F.coalesce(F.concat(F.lit("h"), "source"), F.lit("")).alias("hk"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), "text")
-    base = measure(rows)
+    host = F.xxhash64(F.col("source").isNull(), F.coalesce("source", F.lit("")))
+    rows = docs.select("doc_id", host.alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), "text")
+    # the written table fixes the numbers of the rows
+    base = cut(measure(rows).withColumn("row", F.monotonically_increasing_id()), "measured")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    lost = line_losses(docs).select(F.col("doc_id").alias("__d"), F.col("hk").alias("__h"), F.col("t1").alias("__t"), "lost")
-    out = base.join(lost, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("hk") == F.col("__h")) & (F.col("t1") == F.col("__t")), "left")
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     kept = ~failed & (left >= MIN_WORDS) & (left >= KEEP * F.col("n_words"))
-    return out.select("doc_id", *NAMES, failed.alias("base_failed"), kept.alias("kept"))
+    return base.drop("lines").join(losses(base), "row", "left").select("doc_id", *NAMES, failed.alias("base_failed"), kept.alias("kept"))
