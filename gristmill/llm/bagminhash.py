@@ -131,14 +131,17 @@ def star_links(rows: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity is high enough, with it."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    """The pairs (a, b) whose weighted Jaccard similarity is high enough, with it.
+
+    The pairs grow with the corpus, so nothing here is broadcast, at any size.
+    """
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().hint("merge")
     held = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_bagged, "doc_id long, bag array<int>")
     held = cut(held, "bags")
     one, two = held.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), held.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b"))
     both = F.size(F.array_intersect("bag_a", "bag_b"))
     alike = both / (F.size("bag_a") + F.size("bag_b") - both)
-    return pairs.join(one, "a").join(two, "b").select("a", "b", alike.alias("similarity")).where(F.col("similarity") >= similarity)
+    return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", alike.alias("similarity")).where(F.col("similarity") >= similarity)
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
