@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import by_hash
+from ..functions.text import by_hash, let
 from ..functions.tools import CALL, call_args, call_names, param_schema, parse_call, required_params, tool_name, tool_specs, value_type
 from ..functions.variant import as_map, as_string, display, member, quoted
 from .filters import every_n
@@ -23,11 +23,15 @@ MAX_NEGATIVES = 3
 def render(tag: str, instruction: Column, options: Column, answer: Column) -> Column:
     """A question with lettered options; answer is the option that is right."""
     letters = F.array(*[F.lit(x) for x in LETTERS])
-    listed = F.transform(options, lambda o, i: F.concat(F.lit("  "), F.get(letters, i), F.lit(") "), o))
-    right = F.get(letters, (F.array_position(options, answer) - 1).cast("int"))
-    head = F.array(F.lit(f"<|{tag}|>"), F.concat(F.lit("Instruction: "), instruction), F.lit("Options:"))
-    tail = F.array(F.concat(F.lit("Answer: "), right), F.lit(f"</|{tag}|>"))
-    return F.array_join(F.concat(head, listed, tail), "\n")
+
+    def asked(o: Column) -> Column:
+        listed = F.transform(o, lambda x, i: F.concat(F.lit("  "), F.get(letters, i), F.lit(") "), x))
+        right = F.get(letters, (F.array_position(o, answer) - 1).cast("int"))
+        head = F.array(F.lit(f"<|{tag}|>"), F.concat(F.lit("Instruction: "), instruction), F.lit("Options:"))
+        tail = F.array(F.concat(F.lit("Answer: "), right), F.lit(f"</|{tag}|>"))
+        return F.array_join(F.concat(head, listed, tail), "\n")
+
+    return let(options, asked)
 
 
 def tool_options(name: Column, names: Column, seed: Column) -> Column:
@@ -81,8 +85,8 @@ def value_negatives(called: DataFrame, pool: DataFrame, keys: list[str], most: i
     fields = fields.join(level("function", [("func", "name"), ("param", "field")], "c1"), ["name", "field"], "left")
     fields = fields.join(level("param", [("param", "field")], "c2"), "field", "left").join(level("type", [("t", "t")], "c3"), "t", "left")
     spaced = lambda c: F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: display(F.try_parse_json(x))), lambda x: x != F.col("own"))
-    one, two, three = (spaced(F.col(c)) for c in ("c1", "c2", "c3"))
-    picked = F.when(F.size(one) > 0, one).when(F.size(two) > 0, two).otherwise(three)
+    some = lambda c: let(spaced(F.col(c)), lambda x: F.when(F.size(x) > 0, x))
+    picked = F.coalesce(some("c1"), some("c2"), some("c3"), F.array().cast("array<string>"))
     # the best few of a field are enough, since only `most` are wanted in all
     few = F.slice(by_hash(picked, F.concat("seed", F.lit("|"), "field")), 1, most)
     wrong = F.transform(few, lambda v: args_json(F.col("shown"), F.col("field"), v))

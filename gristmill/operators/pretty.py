@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import BLANK, strip
 from ..functions.tools import required_params, text_bucket, tool_description, tool_name, tool_specs
@@ -28,7 +29,7 @@ def split_tagged(text: Column) -> Column:
     return F.filter(F.transform(pieces, block), lambda b: (b["role"] != "text") | (strip(b["content"]) != ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def pretty_json(content: pd.Series) -> pd.Series:
     """JSON with an indent of two, keys in their order; anything else without white space at its ends."""
 
