@@ -79,9 +79,9 @@ def _shingled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return tokens.shingles(words, SHINGLE), of[:-1], np.maximum(of[1:] - SHINGLE + 1, of[:-1])
 
 
-def cells(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signature and first passage of each cell of all bands."""
-    keys, places = [], []
+def cells(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signature, first and last passage of each cell of all bands."""
+    keys, places, lasts = [], [], []
     with np.errstate(over="ignore"):
         for band in range(BANDS):
             tiles = []
@@ -98,22 +98,25 @@ def cells(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarr
             both = a[np.searchsorted(p, at, "right") - 1] * _SALT[0] + b[np.searchsorted(q, at, "right") - 1]
             keys.append(tokens.mix(both + _SALT[band]))
             places.append(at)
+            # a cell ends where the next one of its text starts, or at the text's last passage
+            lasts.append(np.minimum(np.append(at[1:], at[-1] + len(h)) - 1, ends[np.searchsorted(starts, at, "right") - 1] - LENGTH))
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(places)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keys), np.concatenate(places), np.concatenate(lasts)
 
 
-def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
     """One cell of each key, to be sent on, and the others' links to it, gathered by pair of documents."""
     order = np.lexsort((place, doc, key))
-    key, doc, place = key[order], doc[order], place[order]
+    key, doc, place, last = key[order], doc[order], place[order], last[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
     far = doc != doc[head]
-    a, b, pa_, pb = doc[far], doc[head[far]], place[far], place[head[far]]
+    a, b, at_head = doc[far], doc[head[far]], head[far]
     by = np.lexsort((b, a))
-    a, b, pa_, pb = a[by], b[by], pa_[by], pb[by]
+    a, b = a[by], b[by]
+    lo, hi, head_lo, head_hi = (x[by] for x in (place[far], last[far], place[at_head], last[at_head]))
     edge = np.ones(len(a), bool)
     edge[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     at = np.flatnonzero(edge)
@@ -128,11 +131,11 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordB
         [
             join(key[new].view(np.int64), own, np.int64),
             join(doc[new], a[at], np.int64),
-            join(place[new], red(np.minimum, pa_), np.int32),
-            join(place[new], red(np.maximum, pa_), np.int32),
+            join(place[new], red(np.minimum, lo), np.int32),
+            join(last[new], red(np.maximum, hi), np.int32),
             held(b[at], np.int64),
-            held(red(np.minimum, pb), np.int32),
-            held(red(np.maximum, pb), np.int32),
+            held(red(np.minimum, head_lo), np.int32),
+            held(red(np.maximum, head_hi), np.int32),
         ],
         ["key", "doc_id", "lo", "hi", "head", "head_lo", "head_hi"],
     )
@@ -143,10 +146,10 @@ def _celled(parts):
     for part in parts:
         for batch in tokens.batches(part, most=2 << 20):
             h, starts, ends = _shingled(batch)
-            key, at = cells(h, starts, ends)
+            key, at, last = cells(h, starts, ends)
             of = np.searchsorted(starts, at, "right") - 1
             doc = batch.column(batch.schema.get_field_index("doc_id")).to_numpy()
-            waiting.append((key, doc[of], at - starts[of]))
+            waiting.append((key, doc[of], at - starts[of], last - starts[of]))
             n += len(key)
             if n >= MAX_CELLS:
                 yield _combined(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
@@ -159,11 +162,11 @@ def links(docs: DataFrame) -> DataFrame:
     """(a, b, a_lo, a_hi, b_lo, b_hi): pairs of documents to verify, and where their passages start."""
     rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_celled, LINK)
     group = W.Window.partitionBy("key")
-    head = F.min(F.when(F.col("head").isNull(), F.struct("doc_id", "lo"))).over(group)
+    head = F.min(F.when(F.col("head").isNull(), F.struct("doc_id", "lo", "hi"))).over(group)
     rows = rows.withColumn("__h", head)
     known = F.col("head").isNotNull()
     pick = lambda name, field: F.when(known, F.col(name)).otherwise(F.col("__h")[field])
-    rows = rows.select(F.col("doc_id").alias("a"), pick("head", "doc_id").alias("b"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), pick("head_lo", "lo").alias("b_lo"), pick("head_hi", "lo").alias("b_hi")).where("a <> b")
+    rows = rows.select(F.col("doc_id").alias("a"), pick("head", "doc_id").alias("b"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), pick("head_lo", "lo").alias("b_lo"), pick("head_hi", "hi").alias("b_hi")).where("a <> b")
     turn = F.col("a") > F.col("b")
     rows = rows.select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_lo", "b_lo"), ("a_hi", "b_hi"), ("b_lo", "a_lo"), ("b_hi", "a_hi"))])
     return rows.groupBy("a", "b").agg(F.min("a_lo").alias("a_lo"), F.max("a_hi").alias("a_hi"), F.min("b_lo").alias("b_lo"), F.max("b_hi").alias("b_hi"))

@@ -8,7 +8,8 @@ counts and the class prior come from all rows, and every whole text is scored.
 Defined cases: a null or empty text has no words and gets the score of an
 all-zero input; a null doc_id isn't held out and never trains; repeated rows are scored
 one by one; labels that repeat or clash count as positive if any row is; without
-any confirmed positive every score is 0. Extra columns of docs are ignored.
+any confirmed positive every score is 0, and where no word tells the texts apart,
+the class prior. Extra columns of docs are ignored.
 """
 
 from __future__ import annotations
@@ -97,6 +98,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     gain[in_pos + in_unl < 3] = 0
     chosen = np.argsort(-gain, kind="stable")[:features]
     chosen = np.sort(chosen[gain[chosen] >= MIN_GAIN])
+    if not len(chosen):  # nothing tells the texts apart
+        return Model(chosen, None, prior, prior)
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
     x = np.zeros((len(pos), len(chosen)), np.float32)

@@ -91,7 +91,8 @@ def array_items(chunks: Iterable[str]) -> Iterator[object]:
             if more():
                 continue
             raise ValueError("the array isn't closed") from None
-        if end == len(buf) and not done and more():  # a number may go on
+        is_number = isinstance(item, int | float) and not isinstance(item, bool)
+        if is_number and (end == len(buf) or buf[end] not in " \t\r\n,]") and not done and more():  # it may go on
             continue
         buf = buf[end:]
         yield item

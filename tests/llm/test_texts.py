@@ -106,7 +106,7 @@ def model():
 def test_spans_equal_the_library(model):
     own = sentencepiece_codec.Codec(model)
     for t in TEXTS:
-        proto = own.processor.encode(t, out_type="immutable_proto")
+        proto = own.processor.encode(t, return_type="proto")
         starts, ends = own.spans(t, [p.id for p in proto.pieces])
         b = [len(t[:n].encode()) for n in range(len(t) + 1)]
         got = list(zip(starts.tolist(), ends.tolist(), strict=True))
