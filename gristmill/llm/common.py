@@ -84,7 +84,7 @@ def components(edges: DataFrame, name: str = "links") -> DataFrame:
         lower = cut(lower, name)
         up = lower.select(F.col("id").alias("next"), F.col("next").alias("up"))
         heads = up.join(lower.select("next").distinct(), "next", "left_semi")
-        jumped = salted_left_join(lower, heads, ["next"], ["id"]).select("id", "root", F.coalesce(F.least("next", "up"), "next").alias("next"))
+        jumped = salted_left_join(lower, heads, ["next"], ["id"], hint="merge").select("id", "root", F.coalesce(F.least("next", "up"), "next").alias("next"))
         jumped = cut(jumped, name)
         moved = jumped.where("next <> root").limit(1).count()
         roots = jumped.select("id", F.col("next").alias("root"))
