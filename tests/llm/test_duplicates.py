@@ -159,6 +159,25 @@ def test_classes_equal_brute_force(spark):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@pytest.mark.parametrize("heads", [bagminhash.HEADS, (1, 3)])
+def test_copies_that_only_their_base_joins_are_one_class(spark, monkeypatch, heads):
+    monkeypatch.setattr(bagminhash, "HEADS", heads)
+    monkeypatch.setattr(bagminhash, "BLOCK", 4)
+    r = random.Random(11)
+    base = prose(r, 150).split()
+    rows = [(40, " ".join(base))]
+    for i in range(25):
+        w = list(base)
+        for k in r.sample(range(5, 145, 10), 3):
+            w[k] = prose(r, 1) + str(i)
+        rows.append((i, " ".join(w)))
+    assert sum(jaccard(bag(rows[i][1]), bag(rows[j][1])) < 0.8 for i in range(1, 26) for j in range(1, i)) > 200
+    rows += [(3, rows[4][1])] * 3
+    want = brute_classes(rows)
+    assert set(want.values()) == {0}
+    assert {x["doc_id"]: x["class_id"] for x in bagminhash.classes(frame(spark, rows)).collect()} == want
+
+
 def test_classes_of_nothing(spark):
     assert bagminhash.classes(frame(spark, [])).collect() == []
 
