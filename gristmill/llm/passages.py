@@ -113,10 +113,14 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndar
     new[1:] = key[1:] != key[:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
     far = doc != doc[head]
+    # all places where the head's document holds the key, not only its first
+    key_at = np.flatnonzero(new)
+    head_last = np.maximum.reduceat(np.where(far, -1, last), key_at) if len(key_at) else last
+    last_of = np.repeat(head_last, np.diff(np.append(key_at, len(key))))
     a, b, at_head = doc[far], doc[head[far]], head[far]
     by = np.lexsort((b, a))
     a, b = a[by], b[by]
-    lo, hi, head_lo, head_hi = (x[by] for x in (place[far], last[far], place[at_head], last[at_head]))
+    lo, hi, head_lo, head_hi = (x[by] for x in (place[far], last[far], place[at_head], last_of[far]))
     edge = np.ones(len(a), bool)
     edge[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     at = np.flatnonzero(edge)
@@ -132,7 +136,7 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndar
             join(key[new].view(np.int64), own, np.int64),
             join(doc[new], a[at], np.int64),
             join(place[new], red(np.minimum, lo), np.int32),
-            join(last[new], red(np.maximum, hi), np.int32),
+            join(head_last, red(np.maximum, hi), np.int32),
             held(b[at], np.int64),
             held(red(np.minimum, head_lo), np.int32),
             held(red(np.maximum, head_hi), np.int32),
@@ -162,9 +166,11 @@ def links(docs: DataFrame) -> DataFrame:
     """(a, b, a_lo, a_hi, b_lo, b_hi): pairs of documents to verify, and where their passages start."""
     rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_celled, LINK)
     group = W.Window.partitionBy("key")
-    head = F.min(F.when(F.col("head").isNull(), F.struct("doc_id", "lo", "hi"))).over(group)
-    rows = rows.withColumn("__h", head)
     known = F.col("head").isNotNull()
+    rows = rows.withColumn("__d", F.min(F.when(~known, F.col("doc_id"))).over(group))
+    own = ~known & (F.col("doc_id") == F.col("__d"))
+    ends = [F.min(F.when(own, F.col("lo"))).over(group).alias("lo"), F.max(F.when(own, F.col("hi"))).over(group).alias("hi")]
+    rows = rows.withColumn("__h", F.struct(F.col("__d").alias("doc_id"), *ends))
     pick = lambda name, field: F.when(known, F.col(name)).otherwise(F.col("__h")[field])
     rows = rows.select(F.col("doc_id").alias("a"), pick("head", "doc_id").alias("b"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), pick("head_lo", "lo").alias("b_lo"), pick("head_hi", "hi").alias("b_hi")).where("a <> b")
     turn = F.col("a") > F.col("b")

@@ -262,3 +262,16 @@ def test_repeated_passages(spark):
         for s in passages_of:
             assert any(s in f for f in found[i]), (i, s)
     assert passages.repeated_passages(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, passages.MAX_CELLS])
+def test_every_place_of_a_passage_in_the_head_is_found(spark, monkeypatch, most):
+    monkeypatch.setattr(passages, "MAX_CELLS", most)
+    r = random.Random(7)
+    shared = prose(r, 60)
+    rows = [(0, f"{shared} {prose(r, 400)} {shared} {prose(r, 50)}"), (1, f"{prose(r, 80)} {shared}"), (2, f"{shared} {prose(r, 90)}")]
+    got = passages.repeated_passages(frame(spark, rows).coalesce(1)).collect()
+    spans = [(g["start_word"], g["end_word"]) for g in got if g["doc_id"] == 0]
+    for at in (0, 460):
+        assert any(s <= at and at + 60 <= e for s, e in spans), (at, spans)
+    assert {g["doc_id"] for g in got} == {0, 1, 2}
