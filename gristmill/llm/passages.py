@@ -8,15 +8,22 @@ opened. For a band of two hash functions the windows' overlaps, an interval join
 inside the text, are cells of passages that share both min-hashes. Cells of all
 texts are grouped by signature over BANDS bands.
 
-A group becomes links to one of its texts, never pairs. Each map task first links
-the cells that it holds itself and sends one cell for each signature, so that
-however common a passage is, a key has as many rows as there are map tasks.
+A group first becomes links to one of its texts, never pairs. Each map task first
+links the cells that it holds itself and sends one cell for each signature, so that
+however common a passage is, a key has as many rows as there are map tasks. The
+cells that it doesn't send as heads are dealt out evenly, for the groups below.
 
 Links are gathered by pair of documents, with the stretch of each text that they
 cover, and both stretches are compared: passages of which enough shingles (so
 that their Jaccard similarity is at least 0.8) are in the other text's stretch,
 on both sides, are the repeats. They are merged where they overlap.
 
+A group of three or more documents is done when each has a repeat in its cell and
+all are in one class. In the others, round after round, more of the documents (in
+hash order) are heads, each of which is compared to the group's documents that it
+isn't known to be linked with, until the group is done or every pair in it was
+tested or lies inside one class.
+
 Defined cases: null, empty and short texts have no passages; repeated rows of one
 doc_id are one document, and repeats inside one document don't count; rows with
 a null doc_id are left out; an empty table gives no rows. Extra columns are ignored.
@@ -31,16 +38,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from . import tokens
-from .common import components, cut, small_batches
+from .common import components, cut, salted_left_join, small_batches
 
 SHINGLE, LENGTH, SIMILARITY = 5, 46, 0.8
 BANDS = 4
 #: Cells that a map task combines at once.
 MAX_CELLS = 2_000_000
+#: About so many documents of each open group are heads in each round, the last number in all further rounds.
+HEADS = (8, 64, 512)
 #: Shingles of LENGTH that two passages share at a Jaccard similarity of SIMILARITY.
 SHARED = int(np.ceil(2 * LENGTH * SIMILARITY / (1 + SIMILARITY)))
 _SALT = tokens.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
-LINK = "key long, doc_id long, lo int, hi int, head long, head_lo int, head_hi int"
+LINK = "key long, doc_id long, lo int, hi int, head long, head_lo int, head_hi int, cell long, n int"
 
 
 def compact_windows(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,6 +126,14 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndar
     key_at = np.flatnonzero(new)
     head_last = np.maximum.reduceat(np.where(far, -1, last), key_at) if len(key_at) else last
     last_of = np.repeat(head_last, np.diff(np.append(key_at, len(key))))
+    # each document of a key
+    one = new.copy()
+    one[1:] |= doc[1:] != doc[:-1]
+    first = np.flatnonzero(one)
+    held_by = np.bincount(np.cumsum(new)[first] - 1, minlength=len(key_at))
+    member_last = np.maximum.reduceat(last, first) if len(first) else last
+    rest = ~new[first]
+    cell, member, member_lo, member_hi = key[first][rest].view(np.int64), doc[first][rest], place[first][rest], member_last[rest]
     a, b, at_head = doc[far], doc[head[far]], head[far]
     by = np.lexsort((b, a))
     a, b = a[by], b[by]
@@ -125,23 +142,31 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndar
     edge[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     at = np.flatnonzero(edge)
     red = (lambda f, x: f.reduceat(x, at)) if len(at) else (lambda f, x: x)
-    n, m = int(new.sum()), len(at)
+    n, m, k = int(new.sum()), len(at), len(cell)
     with np.errstate(over="ignore"):
         own = tokens.mix(tokens.mix(a[at].astype(np.uint64)) + b[at].astype(np.uint64)).view(np.int64)  # deals the links out evenly
-    join = lambda x, y, kind: pa.array(np.concatenate([x, y]).astype(kind))
-    mask = np.repeat([True, False], [n, m])
-    held = lambda y, kind: pa.array(np.concatenate([np.zeros(n, kind), y]).astype(kind), mask=mask)
+        dealt = tokens.mix(tokens.mix(member.astype(np.uint64)) + cell.view(np.uint64)).view(np.int64)
+    join = lambda x, y, z, kind: pa.array(np.concatenate([x, y, z]).astype(kind))
+
+    def held(y, kind, part):
+        """A column of one of the three kinds of rows: heads, links, other documents of a key."""
+        sizes = [n, m, k]
+        parts = [y if i == part else np.zeros(size, kind) for i, size in enumerate(sizes)]
+        return pa.array(np.concatenate(parts).astype(kind), mask=np.repeat(np.arange(3) != part, sizes))
+
     return pa.RecordBatch.from_arrays(
         [
-            join(key[new].view(np.int64), own, np.int64),
-            join(doc[new], a[at], np.int64),
-            join(place[new], red(np.minimum, lo), np.int32),
-            join(head_last, red(np.maximum, hi), np.int32),
-            held(b[at], np.int64),
-            held(red(np.minimum, head_lo), np.int32),
-            held(red(np.maximum, head_hi), np.int32),
+            join(key[new].view(np.int64), own, dealt, np.int64),
+            join(doc[new], a[at], member, np.int64),
+            join(place[new], red(np.minimum, lo), member_lo, np.int32),
+            join(head_last, red(np.maximum, hi), member_hi, np.int32),
+            held(b[at], np.int64, 1),
+            held(red(np.minimum, head_lo), np.int32, 1),
+            held(red(np.maximum, head_hi), np.int32, 1),
+            held(cell, np.int64, 2),
+            held(held_by, np.int32, 0),
         ],
-        ["key", "doc_id", "lo", "hi", "head", "head_lo", "head_hi"],
+        ["key", "doc_id", "lo", "hi", "head", "head_lo", "head_hi", "cell", "n"],
     )
 
 
@@ -162,20 +187,35 @@ def _celled(parts):
         yield _combined(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """(a, b, a_lo, a_hi, b_lo, b_hi): pairs of documents to verify, and where their passages start."""
+def oriented(rows: DataFrame) -> DataFrame:
+    """Pairs with a < b, each once, with the stretch of each document that its rows cover."""
+    turn = F.col("a") > F.col("b")
+    rows = rows.where("a <> b").select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_lo", "b_lo"), ("a_hi", "b_hi"), ("b_lo", "a_lo"), ("b_hi", "a_hi"))])
+    return rows.groupBy("a", "b").agg(F.min("a_lo").alias("a_lo"), F.max("a_hi").alias("a_hi"), F.min("b_lo").alias("b_lo"), F.max("b_hi").alias("b_hi"))
+
+
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of documents to verify, (a, b, a_lo, a_hi, b_lo, b_hi) with where their passages start, and the
+    cells (key, doc_id, lo, hi, n) of the groups of n documents, three or more."""
     rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_celled, LINK)
     group = W.Window.partitionBy("key")
+    sent = F.col("n").isNotNull()
     known = F.col("head").isNotNull()
-    rows = rows.withColumn("__d", F.min(F.when(~known, F.col("doc_id"))).over(group))
-    own = ~known & (F.col("doc_id") == F.col("__d"))
+    rows = rows.withColumn("__d", F.min(F.when(sent, F.col("doc_id"))).over(group))
+    own = sent & (F.col("doc_id") == F.col("__d"))
     ends = [F.min(F.when(own, F.col("lo"))).over(group).alias("lo"), F.max(F.when(own, F.col("hi"))).over(group).alias("hi")]
-    rows = rows.withColumn("__h", F.struct(F.col("__d").alias("doc_id"), *ends))
-    pick = lambda name, field: F.when(known, F.col(name)).otherwise(F.col("__h")[field])
-    rows = rows.select(F.col("doc_id").alias("a"), pick("head", "doc_id").alias("b"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), pick("head_lo", "lo").alias("b_lo"), pick("head_hi", "hi").alias("b_hi")).where("a <> b")
-    turn = F.col("a") > F.col("b")
-    rows = rows.select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_lo", "b_lo"), ("a_hi", "b_hi"), ("b_lo", "a_lo"), ("b_hi", "a_hi"))])
-    return rows.groupBy("a", "b").agg(F.min("a_lo").alias("a_lo"), F.max("a_hi").alias("a_hi"), F.min("b_lo").alias("b_lo"), F.max("b_hi").alias("b_hi"))
+    rows = rows.withColumn("__h", F.struct(F.col("__d").alias("doc_id"), *ends)).withColumn("__n", F.sum(F.when(sent, F.col("n"))).over(group))
+    pick = lambda name, field: F.when(known, F.col(name)).otherwise(F.when(sent, F.col("__h")[field])).alias(name)
+    rows = rows.where(~sent | (F.col("__n") > 1)).select("key", "doc_id", "lo", "hi", pick("head", "doc_id"), pick("head_lo", "lo"), pick("head_hi", "hi"), "cell", F.when(sent, F.col("__n")).alias("n"))
+    rows = cut(rows, "cells")
+    pairs = rows.where("head is not null").select(F.col("doc_id").alias("a"), F.col("head").alias("b"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), F.col("head_lo").alias("b_lo"), F.col("head_hi").alias("b_hi"))
+    many = rows.where("n > 2").select("key", "doc_id", "lo", "hi")
+    groups = many.groupBy("key").agg(F.lit(1).alias("many"))
+    rest = salted_left_join(rows.where("cell is not null").select(F.col("cell").alias("key"), "doc_id", "lo", "hi"), groups, ["key"], ["doc_id"], hint="merge").where("many = 1")
+    cells = many.union(rest.select("key", "doc_id", "lo", "hi")).groupBy("key", "doc_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    sizes = cells.groupBy("key").agg(F.count("*").alias("n")).where("n > 2")
+    cells = salted_left_join(cells, sizes, ["key"], ["doc_id"], hint="merge").where("n is not null")
+    return oriented(pairs), cells
 
 
 def _arrays(parts):
@@ -215,6 +255,51 @@ def _verified(parts):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "partner_id", "start_word", "end_word", "similarity"])
 
 
+def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The repeats (doc_id, partner_id, start_word, end_word, similarity) that the pairs' stretches hold, in both documents."""
+    part = lambda s: F.slice("sh", F.col(f"{s}_lo") + 1, F.col(f"{s}_hi") - F.col(f"{s}_lo") + LENGTH).alias(f"s{s}")
+    pairs = pairs.join(held.withColumnRenamed("doc_id", "a"), "a").select(*pairs.columns, part("a"))
+    pairs = pairs.join(held.withColumnRenamed("doc_id", "b"), "b").select("a", "b", "a_lo", "b_lo", "sa", part("b"))
+    return cut(pairs.mapInArrow(_verified, "doc_id long, partner_id long, start_word int, end_word int, similarity double"), "repeats")
+
+
+def classes(found: DataFrame) -> DataFrame:
+    """(id, root) of the documents that repeats link."""
+    return components(found.where("doc_id > partner_id").select(F.col("doc_id").alias("a"), F.col("partner_id").alias("b")).distinct())
+
+
+def merged(found: DataFrame) -> DataFrame:
+    """found with the overlapping spans of one document and partner as one."""
+    pair = W.Window.partitionBy("doc_id", "partner_id").orderBy("start_word", "end_word")
+    apart = F.coalesce(F.col("start_word") > F.max("end_word").over(pair.rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(True))
+    rows = found.withColumn("apart", apart.cast("int")).withColumn("nth", F.sum("apart").over(pair.rowsBetween(W.Window.unboundedPreceding, 0)))
+    return rows.groupBy("doc_id", "partner_id", "nth").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), F.max("similarity").alias("similarity")).drop("nth")
+
+
+def settled(found: DataFrame, cells: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """found with the repeats between documents of a group that its heads have not linked, and the classes of all."""
+    u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(2.0**53)
+    rows, done, step = cut(cells.withColumn("u", u), "groups"), 0, 0
+    while True:
+        roots = classes(found)
+        spans = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")).join(roots, "id")
+        seen = F.exists("spans", lambda s: (s.start_word <= F.col("hi")) & (s.end_word - LENGTH - SHINGLE + 1 >= F.col("lo")))
+        # documents without a repeat in the cell are classes of their own
+        at = rows.join(spans.hint("merge"), F.col("doc_id") == F.col("id"), "left")
+        at = at.withColumn("seen", F.coalesce(seen, F.lit(False)))
+        at = at.select(*rows.columns, F.xxhash64("seen", F.when(F.col("seen"), F.col("root")).otherwise(F.col("doc_id"))).alias("class"))
+        mixed = at.where(F.col("n") > done).groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select("key", F.lit(1).alias("open"))
+        left = cut(salted_left_join(at, mixed, ["key"], ["doc_id"], hint="merge").where("open = 1").drop("open"), "open")
+        if not left.limit(1).count():
+            return found, roots
+        more = done + HEADS[min(step, len(HEADS) - 1)]
+        heads = left.where((F.col("u") * F.col("n") >= done) & (F.col("u") * F.col("n") < more)).groupBy("key").agg(F.collect_list(F.struct(F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"), F.col("class").alias("other"))).alias("heads"))
+        met = salted_left_join(left, heads, ["key"], ["doc_id"], hint="merge").select(F.col("doc_id").alias("a"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), "class", F.inline("heads"))
+        pairs = cut(oriented(met.where("class <> other")), "pairs")
+        found = found.union(verified(pairs, held)).distinct()
+        rows, done, step = left.select(*rows.columns), more, step + 1
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """The passages of each document that other documents repeat.
 
@@ -224,13 +309,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     links reach. Documents without repeats have no row.
     """
     small_batches(docs.sparkSession)
-    pairs = cut(links(docs), "pairs")
+    pairs, cells = links(docs)
+    pairs = cut(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     held = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_arrays, "doc_id long, sh array<int>").groupBy("doc_id").agg(F.max_by("sh", F.size("sh")).alias("sh")), "shingles")
-    part = lambda s: F.slice("sh", F.col(f"{s}_lo") + 1, F.col(f"{s}_hi") - F.col(f"{s}_lo") + LENGTH).alias(f"s{s}")
-    pairs = pairs.join(held.withColumnRenamed("doc_id", "a"), "a").select(*pairs.columns, part("a"))
-    pairs = pairs.join(held.withColumnRenamed("doc_id", "b"), "b").select("a", "b", "a_lo", "b_lo", "sa", part("b"))
-    found = cut(pairs.mapInArrow(_verified, "doc_id long, partner_id long, start_word int, end_word int, similarity double"), "repeats")
-    roots = components(found.where("doc_id > partner_id").select(F.col("doc_id").alias("a"), F.col("partner_id").alias("b")).distinct())
-    spans = found.groupBy("doc_id", "start_word", "end_word").agg(F.min("partner_id").alias("partner_id"), F.count("*").alias("n_links"), F.max("similarity").alias("similarity"))
+    found, roots = settled(verified(pairs, held), cells, held)
+    spans = merged(found).groupBy("doc_id", "start_word", "end_word").agg(F.min("partner_id").alias("partner_id"), F.count("*").alias("n_links"), F.max("similarity").alias("similarity"))
     return spans.join(roots.withColumnRenamed("id", "doc_id").withColumnRenamed("root", "class_id"), "doc_id").select("doc_id", "start_word", "end_word", "partner_id", "n_links", "similarity", "class_id")

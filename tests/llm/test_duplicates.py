@@ -275,3 +275,24 @@ def test_every_place_of_a_passage_in_the_head_is_found(spark, monkeypatch, most)
     for at in (0, 460):
         assert any(s <= at and at + 60 <= e for s, e in spans), (at, spans)
     assert {g["doc_id"] for g in got} == {0, 1, 2}
+
+
+def keys_of(text):
+    buf = np.frombuffer(text.encode(), np.uint8)
+    words, of, _ = passages.tokens.word_hashes(buf, np.array([0, len(buf)]))
+    h = passages.tokens.shingles(words, passages.SHINGLE)
+    return set(passages.cells(h, of[:-1], of[1:] - passages.SHINGLE + 1)[0].tolist())
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_alike_passages_are_linked_where_no_head_resembles_them(spark, slices):
+    r = random.Random(13)
+    rows = []
+    while len(rows) < 9:
+        w = prose(r, 50).split()
+        head, a, b = " ".join([*prose(r, 6).split(), *w[6:]]), " ".join(w), " ".join([*w[:49], "last"])
+        # all signatures that the two share are the head's too, with which they share 40 and 39 of 46 shingles
+        if (keys_of(a) & keys_of(b)) and (keys_of(a) & keys_of(b)) <= keys_of(head):
+            rows += [(len(rows) + k, t) for k, t in enumerate((head, a, b))]
+    got = passages.repeated_passages(frame(spark, rows).repartition(slices)).collect()
+    assert {g["doc_id"]: g["class_id"] for g in got} == {1: 1, 2: 1, 4: 4, 5: 4, 7: 7, 8: 7}
