@@ -14,14 +14,16 @@ other row; extra columns of docs are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tokens
 from .common import small_batches
@@ -212,45 +214,43 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
             for batch in tokens.batches(part, most=1 << 20):
                 texts = [t or "" for t in _column(batch, "text").to_pylist()]
                 ids = own.processor.encode(texts, num_threads=1)
-                spans = [own.spans(t, i) for t, i in zip(texts, ids, strict=True)]
-                kind = pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays([_column(batch, "doc_id"), pa.array(ids, kind), *(pa.array([s[k] for s in spans], kind) for k in (0, 1))], ["doc_id", "ids", "starts", "ends"])
+                at = np.cumsum([0, *map(len, ids)])
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, at[-1])
+                spans = [own.spans(t, flat[i:j]) for t, i, j in zip(texts, at[:-1], at[1:], strict=True)]
+                listed = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, pa.int32())) for x in (flat, *(np.concatenate([s[k] for s in spans]).astype(np.int32) for k in (0, 1)))]
+                yield pa.RecordBatch.from_arrays([_column(batch, "doc_id"), *listed], ["doc_id", "ids", "starts", "ends"])
 
     return docs.select("doc_id", "text").mapInArrow(encoded, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """doc_id and the text that the library decodes from ids (null ids: empty)."""
+    return _decoded(encoded, model, ["doc_id"])
+
+
+def _decoded(encoded: DataFrame, model: bytes, kept: list[str]) -> DataFrame:
+    """The kept columns, and text decoded from ids."""
     small_batches(encoded.sparkSession)
 
     def decoded(parts):
         own = Codec(model)
         for part in parts:
-            texts = [own.processor.decode(i or []) for i in _column(part, "ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([_column(part, "doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            ids = _column(part, "ids")
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            at = np.append(0, np.cumsum(ids.value_lengths().fill_null(0).to_numpy()))
+            texts = [own.processor.decode(flat[i:j].tolist()) for i, j in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(_column(part, c) for c in kept), pa.array(texts, pa.string())], [*kept, "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, text string")
+    fields = [*encoded.select(*kept).schema.fields, T.StructField("text", T.StringType())]
+    return encoded.select(*dict.fromkeys([*kept, "ids"])).mapInArrow(decoded, T.StructType(fields))
 
 
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text, in one pass over docs."""
-    small_batches(docs.sparkSession)
-
-    def digested(parts):
-        own = Codec(model)
-        names = [str(i) for i in range(own.processor.vocab_size())]
-        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for part in parts:
-            for batch in tokens.batches(part, most=1 << 20):
-                ids = own.processor.encode([t or "" for t in _column(batch, "text").to_pylist()], num_threads=1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _column(batch, "doc_id"),
-                        pa.array([len(i) for i in ids], pa.int64()),
-                        pa.array([sha(",".join([names[k] for k in i])) for i in ids]),
-                        pa.array([sha(own.processor.decode(i)) for i in ids]),
-                    ],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(digested, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text, from what encode() and decode() return.
+
+    Spans have no column, but each row's are computed, and there is one for each id.
+    """
+    rows = _decoded(encode(docs, model), model, ["doc_id", "ids", "starts", "ends"])
+    spans = (F.size("ids") == F.size("starts")) & (F.size("ids") == F.size("ends"))
+    n = F.when(spans, F.size("ids")).otherwise(F.raise_error(F.lit("the ids and their spans differ in number")).cast("int"))
+    return rows.select("doc_id", n.cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

@@ -142,6 +142,16 @@ def test_encoding_and_decoding_equal_the_library(spark, model):
     assert sentencepiece_codec.digests(docs_of(spark, []), model).collect() == []
 
 
+def test_digests_come_from_encode_with_its_spans(spark, model, monkeypatch):
+    seen, encode = [], sentencepiece_codec.encode
+    monkeypatch.setattr(sentencepiece_codec, "encode", lambda *a: seen.append(encode(*a)) or seen[-1])
+    out = sentencepiece_codec.digests(docs_of(spark, [(1, "Hello  world", "s")]), model)
+    assert len(seen) == 1 and seen[0].columns == ["doc_id", "ids", "starts", "ends"]
+    # both Python stages are in the plan that runs
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2
+    assert out.collect()[0]["n_tokens"] == len(seen[0].collect()[0]["starts"])
+
+
 # --- rules -------------------------------------------------------------------------------------------------------------
 
 
