@@ -244,8 +244,10 @@ def repeats(one: np.ndarray, two: np.ndarray) -> list[tuple[int, int, float]]:
 def _verified(parts):
     for part in parts:
         rows = []
-        for r in part.to_pylist():
-            one, two = np.array(r["sa"], np.int32), np.array(r["sb"], np.int32)
+        sides = [part.column(part.schema.get_field_index(c)) for c in ("sa", "sb")]
+        (flat_a, at_a), (flat_b, at_b) = ((x.flatten().to_numpy(), np.append(0, np.cumsum(x.value_lengths().to_numpy()))) for x in sides)
+        for k, r in enumerate(part.select(["a", "b", "a_lo", "b_lo"]).to_pylist()):
+            one, two = flat_a[at_a[k] : at_a[k + 1]], flat_b[at_b[k] : at_b[k + 1]]
             x, y = repeats(one, two), repeats(two, one)
             if x and y:
                 rows += [(r["a"], r["b"], r["a_lo"] + s, r["a_lo"] + e + SHINGLE - 1, q) for s, e, q in x]
