@@ -45,6 +45,8 @@ ORDERS = 3
 HEADS = (64, 1280)
 #: Texts of a bucket that one task compares to the heads.
 BLOCK = 512
+#: Bytes of text, and distinct shingles, that a worker takes at once.
+SLICE, AT_ONCE = 1 << 20, 1 << 16
 #: Components of M that agree, at least, for a pair to be verified: 3.6 deviations under those of similarity 0.8.
 AGREE = 51
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -75,7 +77,18 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
     """The n x m matrix of earliest points; rows of texts without elements are infinite.
 
     text ascends; element is a 64-bit hash, weight a whole number of at least 1.
+    Elements are drawn AT_ONCE at a time, so that a long text takes no more memory;
+    what is known of a text's components already cuts the later ones short.
     """
+    sig, limit = np.full(n * m, np.inf), np.full(n, np.inf)
+    for lo in range(0, len(text), AT_ONCE):
+        part = slice(lo, lo + AT_ONCE)
+        _drawn(text[part], element[part], weight[part], sig, limit, m)
+    return sig.reshape(n, m)
+
+
+def _drawn(text: np.ndarray, element: np.ndarray, weight: np.ndarray, sig: np.ndarray, limit: np.ndarray, m: int) -> None:
+    """Draw some elements' points into sig, and lower limit, the latest of a text's earliest points."""
     low = [np.zeros(len(text), np.int64)]
     of = [np.arange(len(text))]
     block = 1
@@ -86,8 +99,6 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
     of, low = np.concatenate(of), np.concatenate(low)
     t, w = text[of], weight[of]
     width = np.maximum(low, 1)
-    sig = np.full(n * m, np.inf)
-    limit = np.full(n, np.inf)
     with np.errstate(over="ignore"):
         seed = tokens.mix(element[of] + tokens.mix(low.astype(np.uint64) + _GOLD))
         time, step = np.zeros(len(of)), np.uint64(0)
@@ -100,15 +111,14 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
             ok = (at < w) & (time < limit[t])
             np.minimum.at(sig, t[ok] * m + (b[ok] & np.uint64(0xFFFFFFFF)).astype(np.int64) % m, time[ok])
             here = np.unique(t)
-            limit[here] = sig.reshape(n, m)[here].max(1)
+            limit[here] = sig.reshape(-1, m)[here].max(1)
             on = time < limit[t]
             t, w, low, width, seed, time = t[on], w[on], low[on], width[on], seed[on], time[on]
-    return sig.reshape(n, m)
 
 
 def _signed(parts):
     for part in parts:
-        for batch in tokens.batches(part):
+        for batch in tokens.batches(part, most=SLICE):
             t, h, w = bags(batch)
             sig = signatures(t, h, w, batch.num_rows)
             bits = sig.view(np.uint64).reshape(batch.num_rows, BANDS, ROWS)
@@ -125,7 +135,7 @@ def _signed(parts):
 def _bagged(parts):
     """doc_id, a 32-bit hash of each (shingle, occurrence): a multiset as a set, and a byte of each signature component."""
     for part in parts:
-        for batch in tokens.batches(part):
+        for batch in tokens.batches(part, most=SLICE):
             t, h, w = bags(batch)
             nth = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
             with np.errstate(over="ignore"):
