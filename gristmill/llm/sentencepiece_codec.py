@@ -14,6 +14,7 @@ other row; extra columns of docs are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -22,8 +23,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import tokens
 from .common import small_batches
@@ -204,53 +203,70 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def _encoded(parts, model: bytes):
+    """Batches of doc_id and text -> doc_id, ids, starts, ends."""
+    own = Codec(model)
+    for part in parts:
+        for batch in tokens.batches(part, most=1 << 20):
+            texts = [t or "" for t in _column(batch, "text").to_pylist()]
+            ids = own.processor.encode(texts, num_threads=1)
+            at = np.cumsum([0, *map(len, ids)])
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, at[-1])
+            spans = [own.spans(t, flat[i:j]) for t, i, j in zip(texts, at[:-1], at[1:], strict=True)]
+            listed = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, pa.int32())) for x in (flat, *(np.concatenate([s[k] for s in spans]).astype(np.int32) for k in (0, 1)))]
+            yield pa.RecordBatch.from_arrays([_column(batch, "doc_id"), *listed], ["doc_id", "ids", "starts", "ends"])
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All items of a column of lists, and the n + 1 places where lists start (null: empty)."""
+    return column.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy()))
+
+
+def _decoded(parts, model: bytes):
+    """Batches with ids -> the same columns, and text."""
+    own = Codec(model)
+    for part in parts:
+        flat, at = _lists(_column(part, "ids"))
+        flat = flat.tolist()
+        texts = [own.processor.decode(flat[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "text"])
+
+
+def _digested(parts):
+    """Batches of encoded and decoded texts -> what digests() returns."""
+    names = [str(i) for i in range(1 << 16)]
+    name = lambda i: names[i] if i < len(names) else str(i)
+    for part in parts:
+        (ids, at), (starts, at_starts), (ends, at_ends) = (_lists(_column(part, c)) for c in ("ids", "starts", "ends"))
+        if not (np.array_equal(at, at_starts) and np.array_equal(at, at_ends)):
+            raise ValueError("the ids and their spans differ in number")
+        spans = np.column_stack([starts, ends]).astype("<i4")
+        pick = names.__getitem__ if not len(ids) or ids.max() < len(names) else name
+        ids = ids.tolist()
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        rows = [(sha(",".join(map(pick, ids[i:j])).encode()), sha(spans[i:j].tobytes()), sha(t.as_py().encode())) for i, j, t in zip(at[:-1], at[1:], _column(part, "text"), strict=True)]
+        digests = list(zip(*rows, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([_column(part, "doc_id"), pa.array(np.diff(at)), *(pa.array(d, pa.string()) for d in digests)], ["doc_id", "n_tokens", "ids_sha256", "spans_sha256", "decoded_sha256"])
+
+
 def encode(docs: DataFrame, model: bytes) -> DataFrame:
     """doc_id, ids, and starts and ends: each piece's span of bytes in the original text."""
     small_batches(docs.sparkSession)
-
-    def encoded(parts):
-        own = Codec(model)
-        for part in parts:
-            for batch in tokens.batches(part, most=1 << 20):
-                texts = [t or "" for t in _column(batch, "text").to_pylist()]
-                ids = own.processor.encode(texts, num_threads=1)
-                at = np.cumsum([0, *map(len, ids)])
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, at[-1])
-                spans = [own.spans(t, flat[i:j]) for t, i, j in zip(texts, at[:-1], at[1:], strict=True)]
-                listed = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, pa.int32())) for x in (flat, *(np.concatenate([s[k] for s in spans]).astype(np.int32) for k in (0, 1)))]
-                yield pa.RecordBatch.from_arrays([_column(batch, "doc_id"), *listed], ["doc_id", "ids", "starts", "ends"])
-
-    return docs.select("doc_id", "text").mapInArrow(encoded, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
+    return docs.select("doc_id", "text").mapInArrow(lambda parts: _encoded(parts, model), "doc_id long, ids array<int>, starts array<int>, ends array<int>")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """doc_id and the text that the library decodes from ids (null ids: empty)."""
-    return _decoded(encoded, model, ["doc_id"])
-
-
-def _decoded(encoded: DataFrame, model: bytes, kept: list[str]) -> DataFrame:
-    """The kept columns, and text decoded from ids."""
     small_batches(encoded.sparkSession)
-
-    def decoded(parts):
-        own = Codec(model)
-        for part in parts:
-            ids = _column(part, "ids")
-            flat = ids.flatten().to_numpy(zero_copy_only=False)
-            at = np.append(0, np.cumsum(ids.value_lengths().fill_null(0).to_numpy()))
-            texts = [own.processor.decode(flat[i:j].tolist()) for i, j in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*(_column(part, c) for c in kept), pa.array(texts, pa.string())], [*kept, "text"])
-
-    fields = [*encoded.select(*kept).schema.fields, T.StructField("text", T.StringType())]
-    return encoded.select(*dict.fromkeys([*kept, "ids"])).mapInArrow(decoded, T.StructType(fields))
+    return encoded.select("doc_id", "ids").mapInArrow(lambda parts: _decoded(parts, model), "doc_id long, ids array<int>, text string").drop("ids")
 
 
 def digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids and of the decoded text, from what encode() and decode() return.
+    """doc_id, n_tokens, and SHA-256 of the ids, of their spans and of the decoded text.
 
-    Spans have no column, but each row's are computed, and there is one for each id.
+    The steps of encode() and decode() in one pass of each batch: only digests leave
+    the worker. A span's bytes are its start and end as little-endian 32-bit numbers.
     """
-    rows = _decoded(encode(docs, model), model, ["doc_id", "ids", "starts", "ends"])
-    spans = (F.size("ids") == F.size("starts")) & (F.size("ids") == F.size("ends"))
-    n = F.when(spans, F.size("ids")).otherwise(F.raise_error(F.lit("the ids and their spans differ in number")).cast("int"))
-    return rows.select("doc_id", n.cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+    small_batches(docs.sparkSession)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, spans_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", "text").mapInArrow(lambda parts: _digested(_decoded(_encoded(parts, model), model)), schema)
