@@ -82,11 +82,8 @@ cover AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, unnest(range(0, 8)
 ln AS (SELECT doc_id, source, text, pos, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
        FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln WHERE n > 0 GROUP BY doc_id),
-k AS (SELECT doc_id, source, text, n, translate(lower(trim(line, {SPACES})), '123456789', '000000000') AS key FROM ln WHERE n > 0),
-freq AS (SELECT source, key, count(DISTINCT text) AS texts FROM k GROUP BY source, key),
-host AS (SELECT source, count(DISTINCT coalesce(text, '')) AS total FROM documents GROUP BY source),
-over AS (SELECT f.source, f.key FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source
-         WHERE texts > {rules.MIN_TEXTS} AND texts > {rules.SHARE} * total),
+k AS (SELECT doc_id, source, n, translate(lower(trim(line, {SPACES})), '123456789', '000000000') AS key FROM ln WHERE n > 0),
+over AS (SELECT source, key FROM k GROUP BY source, key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '')) > {rules.MAX_DOCS}),
 lost AS (SELECT k.doc_id, sum(k.n) AS n FROM k JOIN over o ON k.source IS NOT DISTINCT FROM o.source AND k.key = o.key GROUP BY k.doc_id),
 b AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
              length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,

@@ -3,16 +3,16 @@
 Base rules look at one text: its number of words, and the share of words inside
 8-word windows that come twice or more in it. The method looks across texts:
 lines are normalised (stripped, lower case, digits as 0) and hashed, and for each
-host the distinct texts that hold a line are counted, so that copies of one text
-count once. A line in more than max(MIN_TEXTS, SHARE of the host's texts) is
-removed from the host's documents; a document that is left with under MIN_WORDS
-words, or under KEEP of its words, is rejected.
+host the distinct documents that hold a line are counted. A line in more than
+MAX_DOCS documents of a host is removed from the host's documents; a document that
+is left with under MIN_WORDS words, or under KEEP of its words, is rejected.
 
 Words are maximal runs of anything but ASCII white space.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null
-host is a host of its own; repeated rows are judged one by one and count as one
-text; an empty table gives no rows. Extra columns are ignored.
+host is a host of its own; rows that repeat a doc_id are judged one by one and count
+as one document, and so do all rows without a doc_id; an empty table gives no rows.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from . import tokens
 from .common import cut, salted_left_join, small_batches
 
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
-MIN_TEXTS, SHARE, KEEP = 20, 0.02, 0.3
+MAX_DOCS, KEEP = 20, 0.3
 _SYMBOL = tokens.separators(b"#*$%&|<>")
 _BLANK = " \t\n\x0b\x0c\r"
 _DIGITS = {ord(c): "0" for c in "123456789"}
@@ -105,21 +105,20 @@ def measure(docs: DataFrame) -> DataFrame:
 def losses(base: DataFrame) -> DataFrame:
     """row and lost, the words in lines above the limit; only rows with such lines.
 
-    base has row, host and t1 (hashes of host and text) and lines.
+    base has row, doc_id, host (a hash of it) and lines.
     """
-    lines = base.select("row", "host", "t1", F.inline("lines"))
-    texts = lines.select("host", "k1", "k2", "t1").distinct().groupBy("host", "k1", "k2").agg(F.count("*").alias("texts"))
-    hosts = base.select("host", "t1").distinct().groupBy("host").agg(F.count("*").alias("all"))
-    over = texts.where(F.col("texts") > MIN_TEXTS).join(hosts, "host").where(F.col("texts") > SHARE * F.col("all"))
+    lines = base.select("row", "doc_id", "host", F.inline("lines"))
+    docs = lines.select("host", "k1", "k2", "doc_id").distinct().groupBy("host", "k1", "k2").agg(F.count("*").alias("docs"))
+    over = docs.where(F.col("docs") > MAX_DOCS)
     # the lines above the limit grow with the corpus, so they aren't broadcast at any size
-    found = salted_left_join(lines.select("row", "host", "k1", "k2", "n"), over.select("host", "k1", "k2", "texts"), ["host", "k1", "k2"], ["row"], hint="merge")
-    return found.where("texts is not null").groupBy("row").agg(F.sum("n").alias("lost"))
+    found = salted_left_join(lines.select("row", "host", "k1", "k2", "n"), over, ["host", "k1", "k2"], ["row"], hint="merge")
+    return found.where("docs is not null").groupBy("row").agg(F.sum("n").alias("lost"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the base numbers, base_failed and kept of every row of docs."""
     host = F.xxhash64(F.col("source").isNull(), F.coalesce("source", F.lit("")))
-    rows = docs.select("doc_id", host.alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t1"), "text")
+    rows = docs.select("doc_id", host.alias("host"), "text")
     # the written table fixes the numbers of the rows
     base = cut(measure(rows).withColumn("row", F.monotonically_increasing_id()), "measured")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))

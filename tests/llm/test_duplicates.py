@@ -87,6 +87,20 @@ def test_line_index_is_reversible(spark):
     assert {tuple(r) for r in back.refs.collect()} == {tuple(r) for r in lines.LineIndex.build(frame(spark, first)).refs.collect()}
 
 
+def test_filters_grow_with_the_index(spark, monkeypatch):
+    monkeypatch.setattr(lines, "KEYS_PER_SHARD", 2)
+    r = random.Random(21)
+    keys = [prose(r, 12) for _ in range(12)]
+    rows = [(i, "\n".join(keys[: 1 if i < 6 else 12])) for i in range(20)]
+    first, rest = frame(spark, rows[:6]), frame(spark, rows[6:])
+    index = lines.LineIndex.build(first)
+    grown = index.insert(rest)
+    assert index.shards == 1 and grown.shards == 6
+    assert sorted(k for f in grown.filters.collect() for k in f["held"]) == sorted(x["k1"] for x in grown.refs.where("n >= 5").collect())
+    out = lines.drop_lines(frame(spark, rows).select("doc_id", "text"), grown)
+    assert sorted((x["doc_id"], x["__n_dropped"]) for x in out.collect()) == sorted((i, d) for i, _, d, _ in brute_lines(rows))
+
+
 def test_cuckoo_filter_holds_what_was_inserted():
     r = random.Random(2)
     keys = [r.randrange(-(2**63), 2**63) for _ in range(500)]
@@ -96,7 +110,7 @@ def test_cuckoo_filter_holds_what_was_inserted():
     assert all(k in own for k in keys)
     for k in keys[:250]:
         own.delete(k)
-    assert all(k in own for k in keys[250:]) and own.held == keys[250:]
+    assert all(k in own for k in keys[250:]) and list(own.held) == keys[250:]
     assert sum(k in own for k in keys[:250]) < 10
 
 
