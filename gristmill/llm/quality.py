@@ -3,10 +3,11 @@
 Trusted positives (labels.quality = 1) and unlabelled web text train a small
 perceptron with the non-negative unbiased risk and an estimated class prior.
 Its inputs describe how a text is written: shares of ASCII characters, and the
-make-up and repetition of words and lines. See toxicity.py for the sample.
+make-up and repetition of words and lines. See toxicity.py for the sample, which
+takes one text of each drawn id.
 
 Defined cases: a null or empty text has all-zero inputs and is scored like any
-other; without a trusted positive every score is 0, without unlabelled text 1;
+other; a null doc_id isn't held out and never trains; without a trusted positive every score is 0, without unlabelled text 1;
 repeated rows are scored one by one. Extra columns of docs are ignored.
 """
 
@@ -94,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     """Train from trusted positives (labels.quality = 1) and unlabelled web text."""
     small_batches(docs.sparkSession)
     sample, prior = fitting_sample(docs, labels, "quality", max_positive, max_unlabelled, seed=12)
-    got = sample.mapInArrow(_featurise, "pos boolean, x array<float>").toArrow()
+    got = sample.mapInArrow(_featurise, "pos boolean, x array<float>").orderBy("x", "pos").toArrow()
     pos = got["pos"].to_numpy()
     if not pos.any() or pos.all():
         return Model(None, np.zeros(1), np.ones(1), prior, 1.0 if pos.any() else 0.0)

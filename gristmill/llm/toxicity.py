@@ -1,13 +1,13 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-The classifier is a small perceptron over the presence of hashed words
-and word stems, trained in numpy from confirmed toxic texts and unlabelled texts with the risk estimator of
-pu.py. A bounded sample of ids, drawn by hash order over all rows, is fitted;
-counts and the class prior come from all rows, and every whole text is scored.
+The classifier is a small perceptron over the presence of hashed words and word
+stems, trained in numpy from confirmed toxic texts and unlabelled texts with the
+risk estimator of pu.py. A bounded sample of texts, drawn by hash order over all
+ids, is fitted; the class prior comes from all rows, and every whole text is scored.
 
 Defined cases: a null or empty text has no words and gets the score of an
 all-zero input; a null doc_id isn't held out and never trains; repeated rows are scored
-one by one; labels that repeat or clash count as positive if any row is; without
+one by one, and one of an id's texts (the last in order) can be fitted; labels that repeat or clash count as positive if any row is; without
 any confirmed positive every score is 0, and where no word tells the texts apart,
 the class prior. Extra columns of docs are ignored.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pu, tokens
-from .common import held_out, small_batches
+from .common import cut, held_out, small_batches
 
 #: Most confirmed positives and unlabelled texts that are fitted.
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
@@ -48,7 +48,8 @@ def fitting_sample(docs: DataFrame, labels: DataFrame, label: str, max_positive:
     """The texts to fit, (text, positive), and the class prior of the unlabelled ones.
 
     Only rows outside the held-out fold take part. Ids are drawn by seeded hash
-    order; only max_positive + max_unlabelled of them are broadcast.
+    order, and of the rows that repeat an id one text is taken, so that there are
+    max_positive + max_unlabelled rows at most. Only their ids are broadcast.
     """
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(label).alias("__y"))
     rows = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
@@ -58,7 +59,8 @@ def fitting_sample(docs: DataFrame, labels: DataFrame, label: str, max_positive:
     drawn = [rows.where(c).orderBy("__order", "doc_id").limit(k).select("doc_id", "__pos") for c, k in ((F.col("__pos"), max_positive), (~F.col("__pos"), max_unlabelled))]
     ids = docs.sparkSession.createDataFrame(drawn[0].union(drawn[1]).toPandas(), "doc_id long, __pos boolean")
     rows.unpersist()
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "__pos"), pu.class_prior(n or 0, n_known or 0, n_pos or 0)
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "__pos").agg(F.max("text").alias("text"))
+    return texts.select("text", "__pos"), pu.class_prior(n or 0, n_known or 0, n_pos or 0)
 
 
 def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -80,30 +82,44 @@ def _featurise(parts):
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("__pos")), found], ["pos", "words"])
 
 
+def telling(found: DataFrame, n1: int, n0: int, features: int) -> np.ndarray:
+    """The hashed words that explain most of the labels of n1 + n0 texts, at most `features` of them.
+
+    Words are counted and ranked in Spark; only the chosen ones reach the driver.
+    """
+    counts = found.select(F.col("pos").cast("long").alias("pos"), F.explode("words").alias("word")).groupBy("word").agg(F.sum("pos").alias("in_pos"), F.count("*").alias("in_all"))
+    a, b, both = (F.col("in_pos") + 0.5) / (n1 + 1), (F.col("in_all") - F.col("in_pos") + 0.5) / (n0 + 1), (F.col("in_all") + 0.5) / (n1 + n0 + 1)
+    nats = lambda n, x: n * (x * F.log(x / both) + (1 - x) * F.log((1 - x) / (1 - both)))
+    ranked = counts.where("in_all >= 3").withColumn("gain", nats(F.lit(n1), a) + nats(F.lit(n0), b)).where(F.col("gain") >= MIN_GAIN)
+    return np.sort(ranked.orderBy(F.col("gain").desc(), "word").limit(features).select("word").toPandas()["word"].to_numpy(np.int64))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, features: int = FEATURES) -> Model:
     """Train from confirmed toxic texts (labels.toxic = 1) and unlabelled ones."""
     small_batches(docs.sparkSession)
     sample, prior = fitting_sample(docs, labels, "toxic", max_positive, max_unlabelled)
-    got = sample.mapInArrow(_featurise, "pos boolean, words array<int>").toArrow()
-    pos = got["pos"].to_numpy()
-    if not pos.any() or pos.all():
-        return Model(np.zeros(0, np.int64), None, prior, 0.0 if not pos.any() else 1.0)
-    column = got["words"].combine_chunks()
-    text, word = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())), column.flatten().to_numpy()
-    n1, n0 = pos.sum(), (~pos).sum()
-    in_pos, in_unl = (np.bincount(word[pos[text] == k], minlength=1 << BITS) for k in (True, False))
-    a, b = (in_pos + 0.5) / (n1 + 1), (in_unl + 0.5) / (n0 + 1)
-    both = (in_pos + in_unl + 0.5) / (n1 + n0 + 1)
-    gain = n1 * (a * np.log(a / both) + (1 - a) * np.log((1 - a) / (1 - both))) + n0 * (b * np.log(b / both) + (1 - b) * np.log((1 - b) / (1 - both)))
-    gain[in_pos + in_unl < 3] = 0
-    chosen = np.argsort(-gain, kind="stable")[:features]
-    chosen = np.sort(chosen[gain[chosen] >= MIN_GAIN])
+    found = cut(sample.mapInArrow(_featurise, "pos boolean, words array<int>"), "words")
+    n1, n0 = found.agg(F.count_if("pos"), F.count_if(~F.col("pos"))).first()
+    if not n1 or not n0:
+        return Model(np.zeros(0, np.int64), None, prior, 1.0 if n1 else 0.0)
+    chosen = telling(found, n1, n0, features)
     if not len(chosen):  # nothing tells the texts apart
         return Model(chosen, None, prior, prior)
-    place = np.full(1 << BITS, -1)
-    place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(pos), len(chosen)), np.float32)
-    x[text[place[word] >= 0], place[word][place[word] >= 0]] = 1
+
+    def told(parts):
+        """A text's chosen words as a row of bits: a bounded row of the matrix, whatever the text's length."""
+        place = np.full(1 << BITS, -1)
+        place[chosen] = np.arange(len(chosen))
+        for part in parts:
+            words = part.column(1)
+            row, k = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy()), place[words.flatten().to_numpy()]
+            x = np.zeros((len(words), len(chosen)), bool)
+            x[row[k >= 0], k[k >= 0]] = True
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in np.packbits(x, axis=1)], pa.binary())], ["pos", "bits"])
+
+    got = found.select("pos", "words").mapInArrow(told, "pos boolean, bits binary").orderBy("bits", "pos").toArrow()
+    pos = got["pos"].to_numpy()
+    x = np.unpackbits(np.frombuffer(b"".join(got["bits"].to_pylist()), np.uint8).reshape(len(pos), -1), axis=1, count=len(chosen)).astype(np.float32)
     return Model(chosen, pu.train(x[pos], x[~pos], prior, HIDDEN, epochs=40, rate=0.01, decay=1e-4), prior)
 
 
