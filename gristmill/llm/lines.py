@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, key128, salted_left_join
 
@@ -51,7 +52,7 @@ class Cuckoo:
     """A cuckoo filter of 16-bit marks, four to a bucket, with the keys that it holds."""
 
     def __init__(self, keys=()):
-        self.held: list[int] = []
+        self.held: dict[int, None] = {}
         self._build(2, [int(k) for k in keys])
 
     @staticmethod
@@ -67,7 +68,7 @@ class Cuckoo:
         while True:
             self.mask, self.cells = buckets - 1, [0] * (buckets * SLOTS)
             if all(self._place(k) for k in keys):
-                self.held = list(keys)
+                self.held = dict.fromkeys(keys)
                 return
             buckets *= 2
 
@@ -96,7 +97,7 @@ class Cuckoo:
             return
         before = list(self.cells)
         if self._place(key):
-            self.held.append(key)
+            self.held[key] = None
         else:
             self.cells = before
             self._build((self.mask + 1) * 2, [*self.held, key])
@@ -105,7 +106,7 @@ class Cuckoo:
         """Take a key away, if it is held."""
         if key not in self.held:
             return
-        self.held.remove(key)
+        del self.held[key]
         mark, bucket = self.mark(key), key & self.mask
         for b in (bucket, self.other(bucket, mark)):
             for i in range(b * SLOTS, b * SLOTS + SLOTS):
@@ -135,10 +136,11 @@ def _changed(key, filters, changes):
     """One shard's filter after keys came over the limit or fell below it."""
     own = Cuckoo()
     if len(filters):
-        own.mask, own.cells, own.held = (filters[c][0].as_py() for c in ("mask", "cells", "held"))
+        own.mask, own.cells, held = (filters[c][0].as_py() for c in ("mask", "cells", "held"))
+        own.held = dict.fromkeys(held)
     for k, over in sorted(zip(changes["k1"].to_pylist(), changes["over"].to_pylist(), strict=True)):
         own.insert(k) if over else own.delete(k)
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "mask": pa.array([own.mask], pa.int32()), "cells": pa.array([own.cells], pa.list_(pa.int32())), "held": pa.array([own.held], pa.list_(pa.int64()))})
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "mask": pa.array([own.mask], pa.int32()), "cells": pa.array([own.cells], pa.list_(pa.int32())), "held": pa.array([list(own.held)], pa.list_(pa.int64()))})
 
 
 def _built(key, table):
@@ -168,14 +170,23 @@ class LineIndex:
     @staticmethod
     def build(docs: DataFrame) -> LineIndex:
         holders = cut(holders_of(docs), "holders")
-        refs = cut(_refs(holders), "refs")
+        return LineIndex._filtered(holders, cut(_refs(holders), "refs"))
+
+    @staticmethod
+    def _filtered(holders: DataFrame, refs: DataFrame) -> LineIndex:
+        """The index with filters of about KEYS_PER_SHARD keys each."""
         over = refs.where(F.col("n") >= MIN_DOCS)
         shards = max(1, -(-over.count() // KEYS_PER_SHARD))
         filters = over.select(_shard(F.col("k1"), shards).alias("shard"), "k1").groupBy("shard").applyInArrow(_built, FILTER)
         return LineIndex(holders, refs, cut(filters, "filters"), shards)
 
     def _with(self, holders: DataFrame, refs: DataFrame) -> LineIndex:
-        """The index with other tables; filters change only where keys cross the limit."""
+        """The index with other tables; filters change only where keys cross the limit.
+
+        Where they have come to hold twice as many keys, they are dealt anew to more shards.
+        """
+        if refs.where(F.col("n") >= MIN_DOCS).count() > 2 * KEYS_PER_SHARD * self.shards:
+            return LineIndex._filtered(holders, refs)
         was, now = (r.where(F.col("n") >= MIN_DOCS).select("k1", "k2") for r in (self.refs, refs))
         up = now.join(was, ["k1", "k2"], "left_anti").select("k1", F.lit(True).alias("over"))
         down = was.join(now, ["k1", "k2"], "left_anti").select("k1", F.lit(False).alias("over"))
@@ -198,20 +209,31 @@ class LineIndex:
         return self._with(holders, cut(self.refs.join(touched, ["k1", "k2"], "left_anti").union(again), "refs"))
 
     def losers(self) -> DataFrame:
-        """doc_id and __keys, the keys whose lines it loses, for documents that lose some."""
+        """doc_id and __keys, hashes of the keys whose lines it loses, for documents that lose some."""
         rows = self.holders.withColumn("shard", _shard(F.col("k1"), self.shards))
         maybe = salted_left_join(rows, self.filters.drop("held"), ["shard"], ["doc_id", "k2"]).where(_may_hold(F.col("k1"), F.col("mask"), F.col("cells")))
         over = self.refs.where(F.col("n") >= MIN_DOCS)
         exact = salted_left_join(maybe.select("k1", "k2", "doc_id"), over, ["k1", "k2"], ["doc_id"]).where("doc_id < keeper")
-        return exact.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("__keys"))
+        return exact.groupBy("doc_id").agg(F.collect_list(F.col("k1").bitwiseXOR(F.col("k2"))).alias("__keys"))
+
+
+@F.arrow_udf(T.ArrayType(T.BooleanType()))
+def _among(lines: pa.Array, keys: pa.Array) -> pa.Array:
+    """Which of a text's lines (hashes; null: too short) are among its keys: one sorted look-up for each text."""
+    out = [None if k.as_py() is None else np.isin(np.asarray(x.values.fill_null(0)), np.asarray(k.values)) & np.asarray(x.values.is_valid()) for x, k in zip(lines, keys, strict=True)]
+    return pa.array(out, pa.list_(pa.bool_()))
 
 
 def drop_lines(docs: DataFrame, index: LineIndex | None = None) -> DataFrame:
     """docs with text rewritten, and __n_lines and __n_dropped, of each row."""
-    losers = (index or LineIndex.build(docs)).losers()
+    losers = (index or LineIndex.build(docs)).losers().withColumn("__z", F.lit(0))
     lines, loses = split_lines(F.col("text")), F.col("__keys").isNotNull()
-    stays = lambda line: (F.length(line_key(line)) < MIN_CHARS) | ~F.array_contains("__keys", F.struct(*key128(line_key(line))))
-    out = docs.join(losers, "doc_id", "left").withColumn("__kept", F.when(loses, F.filter(lines, stays))).withColumn("__n_lines", F.size(lines).cast("long"))
+    # rows without a doc_id meet no loser: they are dealt out evenly
+    rows = docs.withColumn("__z", F.when(F.col("doc_id").isNull(), F.hash("text")).otherwise(0))
+    out = rows.join(losers, ["doc_id", "__z"], "left")
+    hashed = F.transform(lines, lambda line: F.when(F.length(line_key(line)) >= MIN_CHARS, F.xxhash64(line_key(line)).bitwiseXOR(F.xxhash64(F.lit("b"), line_key(line)))))
+    out = out.withColumn("__gone", _among(F.when(loses, hashed), F.col("__keys")))
+    out = out.withColumn("__kept", F.when(loses, F.filter(lines, lambda line, i: ~F.get("__gone", i)))).withColumn("__n_lines", F.size(lines).cast("long"))
     dropped = F.when(loses, F.col("__n_lines") - F.size("__kept")).otherwise(F.lit(0)).cast("long").alias("__n_dropped")
     text = F.when(loses, F.array_join("__kept", "\n")).otherwise(F.col("text"))
     return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], "__n_lines", dropped)
