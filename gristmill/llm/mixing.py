@@ -8,8 +8,9 @@ weight, for the smallest k at which the next source is under its cap. A source
 then takes every document floor(target / size) times, and the words that are
 left over from documents in seeded hash order, the last of them in part.
 
-The order is a sum over hash buckets before it is one over rows: only rows of
-the one bucket of each source in which the remainder ends are ever ranked.
+Where that order ends is found from sums over hash buckets, and then over the rows
+of the one bucket of each source in which it does. What a row gives then follows
+from its place before, at or after the end, so texts are never shuffled or sorted.
 
 Defined cases: a null or empty text has size 0, is taken 0 times and gets a row
 in taken(); a null source is one source, the last; repeated rows each count,
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .common import cut
+from .common import cut, salted_left_join
 
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (5, 2, 1), 1.5, 2, "mix-1"
 WORD = r"[^ \t-\r]+"
@@ -56,33 +57,55 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ma
 
 
 def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """docs with size and the columns that order its rows: __h, __tie and __bucket."""
+    """docs with size and the columns that order its rows: __h and __tie."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    return docs.select("*", size_of(F.col("text")).alias("size"), h.alias("__h"), F.xxhash64("text").alias("__tie")).withColumn("__bucket", F.substring("__h", 1, 3))
+    return docs.select("*", size_of(F.col("text")).alias("size"), h.alias("__h"), F.xxhash64("text").alias("__tie"))
 
 
-def plan(rows: DataFrame, **how) -> DataFrame:
-    """sized rows with source_size, target and taken: the words that the mix takes of each row."""
-    names = [c for c in rows.columns if c not in ("__h", "__tie", "__bucket")]
-    sums = rows.groupBy("source", "__bucket").agg(F.sum("size").alias("here"))
+def ends(rows: DataFrame, **how) -> DataFrame:
+    """For each source of sized rows: source_size, target, __whole repetitions, and where the rest ends.
+
+    Rows before (__end_h, __end_tie) give all their words once more; those at that
+    place share __end_rest words, in turn; later ones give none. Without such a
+    place (null) the rest is empty, as it is less than the source.
+    """
+    bucket = F.substring("__h", 1, 3)
+    sums = cut(rows.groupBy("source", bucket.alias("__bucket")).agg(F.sum("size").alias("here")), "sums")
     goal = targets(sums.groupBy("source").agg(F.sum("here").alias("source_size")), **how)
-    # what is left after whole repetitions, and where in the hash order it ends
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    goal = goal.withColumn("__whole", whole).withColumn("__left", F.floor("target").cast("long") - F.col("__whole") * F.col("source_size"))
-    same = F.col("s.source").eqNullSafe(F.col("g.source"))
-    upto = W.Window.partitionBy("source").orderBy("__bucket").rowsBetween(W.Window.unboundedPreceding, -1)
-    spans = sums.withColumn("__before", F.coalesce(F.sum("here").over(upto), F.lit(0)))
-    spans = spans.alias("s").join(goal.alias("g"), same).select("s.source", "s.__bucket", "source_size", "target", "__whole", F.greatest(F.col("__left") - F.col("__before"), F.lit(0)).alias("__here_left"), "here")
-    b = spans.select(F.col("source").alias("__s"), F.col("__bucket").alias("__b"), "source_size", "target", "__whole", "__here_left", "here")
-    rows = rows.join(b, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b")), "left")
-    # a bucket is taken whole, not at all, or, one for each source, in part: only there do rows need an order
-    part = (F.col("__here_left") > 0) & (F.col("__here_left") < F.col("here"))
-    easy = rows.where(~part).withColumn("__extra", F.when(F.col("__here_left") > 0, F.col("size")).otherwise(F.lit(0).cast("long")))
-    order = W.Window.partitionBy("source").orderBy("__h", "__tie").rowsBetween(W.Window.unboundedPreceding, -1)
-    hard = rows.where(part).withColumn("__sum", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    hard = hard.withColumn("__extra", F.least("size", F.greatest(F.col("__here_left") - F.col("__sum"), F.lit(0)))).drop("__sum")
+    goal = cut(goal.withColumn("__whole", whole).withColumn("__left", F.floor("target").cast("long") - F.col("__whole") * F.col("source_size")), "targets")
+    upto = lambda *c: W.Window.partitionBy("source").orderBy(*c).rowsBetween(W.Window.unboundedPreceding, -1)
+    at = lambda x, y: F.col(f"{x}.source").eqNullSafe(F.col(f"{y}.source"))
+    spans = sums.withColumn("__before", F.coalesce(F.sum("here").over(upto("__bucket")), F.lit(0)))
+    last = spans.alias("s").join(goal.alias("g"), at("s", "g")).where("__left > __before and __left <= __before + here")
+    last = last.select(F.col("s.source").alias("source"), "__bucket", (F.col("__left") - F.col("__before")).alias("__here_left"))
+    # the rows of those buckets, equal ones together
+    inside = rows.select("source", "size", "__h", "__tie").alias("r").join(last.alias("l"), at("r", "l") & (F.substring("r.__h", 1, 3) == F.col("l.__bucket"))).select("r.*", "__here_left")
+    equal = inside.groupBy("source", "__h", "__tie", "__here_left").agg(F.sum("size").alias("here"))
+    equal = equal.withColumn("__before", F.coalesce(F.sum("here").over(upto("__h", "__tie")), F.lit(0)))
+    end = equal.where("__here_left > __before and __here_left <= __before + here")
+    end = end.select("source", F.col("__h").alias("__end_h"), F.col("__tie").alias("__end_tie"), (F.col("__here_left") - F.col("__before")).alias("__end_rest"))
+    out = goal.alias("g").join(end.alias("e"), at("g", "e"), "left")
+    return cut(out.select("g.source", "source_size", "target", "__whole", "__end_h", "__end_tie", "__end_rest"), "ends")
+
+
+def plan(rows: DataFrame, **how) -> DataFrame:
+    """sized rows with source_size, target and taken: the words that the mix takes of each row."""
+    names = [c for c in rows.columns if c not in ("__h", "__tie")]
+    # one row for each source; Spark broadcasts it if it is small, and its hot sources are spread if not
+    of = ends(rows, **how).select(F.coalesce("source", F.lit("")).alias("__s"), F.col("source").isNull().alias("__none"), *["source_size", "target", "__whole", "__end_h", "__end_tie", "__end_rest"])
+    keyed = rows.withColumn("__s", F.coalesce("source", F.lit(""))).withColumn("__none", F.col("source").isNull())
+    rows = salted_left_join(keyed, of, ["__s", "__none"], ["__h"])
+    here = (F.col("__h") == F.col("__end_h")) & (F.col("__tie") == F.col("__end_tie"))
+    before = (F.col("__h") < F.col("__end_h")) | ((F.col("__h") == F.col("__end_h")) & (F.col("__tie") < F.col("__end_tie")))
+    rows = rows.withColumn("__here", F.coalesce(here, F.lit(False)))
+    most = rows.where("not __here").withColumn("__extra", F.when(before, F.col("size")).otherwise(F.lit(0).cast("long")))
+    # the rows at the end, one for each source but for repeated rows, take their words in turn
+    nth = F.row_number().over(W.Window.partitionBy("source").orderBy("__h"))
+    last = rows.where("__here").withColumn("__nth", nth - 1)
+    last = last.withColumn("__extra", F.least("size", F.greatest(F.col("__end_rest") - F.col("__nth") * F.col("size"), F.lit(0)))).drop("__nth")
     taken = F.col("__whole") * F.col("size") + F.col("__extra")
-    return easy.unionByName(hard).withColumn("taken", taken).select(*names, "source_size", "target", "taken")
+    return most.unionByName(last).withColumn("taken", taken).select(*names, "source_size", "target", "taken")
 
 
 def taken(docs: DataFrame, **how) -> DataFrame:
