@@ -1,32 +1,41 @@
 """Near-duplicate passages by compact windows.
 
 A text is the sequence of its five-word shingles, and a passage is a run of
-LENGTH of them (LENGTH + 4 words). For each of a few hash functions a Cartesian
-tree over the text's shingle hashes gives compact windows (l, c, r): all passages
-inside [l, r] that hold c have their min-hash there. Windows under LENGTH are never
-opened. For a band of two hash functions the windows' overlaps, an interval join
-inside the text, are cells of passages that share both min-hashes. Cells of all
-texts are grouped by signature over BANDS bands.
-
-A group first becomes links to one of its texts, never pairs. Each map task first
-links the cells that it holds itself and sends one cell for each signature, so that
-however common a passage is, a key has as many rows as there are map tasks. The
-cells that it doesn't send as heads are dealt out evenly, for the groups below.
-
-Links are gathered by pair of documents, with the stretch of each text that they
-cover, and both stretches are compared: passages of which enough shingles (so
-that their Jaccard similarity is at least 0.8) are in the other text's stretch,
-on both sides, are the repeats. They are merged where they overlap.
-
-A group of three or more documents is done when each has a repeat in its cell and
-all are in one class. In the others, round after round, more of the documents (in
-hash order) are heads, each of which is compared to the group's documents that it
-isn't known to be linked with, until the group is done or every pair in it was
-tested or lies inside one class.
+LENGTH of them (LENGTH + 4 words); longer repeats are unions of passages. For each
+of a few hash functions a Cartesian tree over the text's shingle hashes gives
+compact windows (l, c, r): all passages inside [l, r] that hold c have their
+min-hash there. Windows under LENGTH are never opened. For a band of two hash
+functions the windows' overlaps, an interval join inside the text, are cells of
+passages that share both min-hashes. Cells of all texts are grouped by signature
+over BANDS bands.
+
+In a group every cell is first linked to one cell of another document, never to all.
+Each map task links the cells that it holds itself and sends on those of one
+document of each signature, so that however common a passage is, a key has few
+rows of each map task. The cells that it doesn't send are dealt out evenly, for the
+groups below.
+
+A link says how two texts lie against each other: their cells hold the same shingle
+at their min-hash. Links are gathered by pair of documents and offset, and verified
+passage against passage (equal cells of one document count once; at the end all passages equal
+to a repeat's are repeats, too): two passages at that offset (or up to DRIFT shingles beside
+it, for words left out or put in) repeat each other if they share SHARED of their
+LENGTH shingles in place, a Jaccard similarity of at least 0.8.
+
+A group of which each document has a repeat in its cell, and all are in one class,
+is done. In the others all cells of different classes are compared, in blocks of SIDE
+cells, by matrix products that count shared shingles, and those that share enough
+are verified as above. A group of more than SIDE cells first meets HEADS[0] of them.
+If it stays open, it is split: two passages that share SHARED of LENGTH
+shingles share one of the first LENGTH - SHARED + 1 of both in any fixed order.
+With shingles that the heads don't hold first, this keeps apart whatever only a
+common line brought together. The parts meet HEADS[1] of their cells, round after round, until
+each is one class or all pairs of different classes were compared.
 
 Defined cases: null, empty and short texts have no passages; repeated rows of one
-doc_id are one document, and repeats inside one document don't count; rows with
-a null doc_id are left out; an empty table gives no rows. Extra columns are ignored.
+doc_id are one document (of its texts the longest is compared), and repeats inside
+one document don't count; rows with a null doc_id are left out; an empty table gives
+no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,41 +53,70 @@ SHINGLE, LENGTH, SIMILARITY = 5, 46, 0.8
 BANDS = 4
 #: Cells that a map task combines at once.
 MAX_CELLS = 2_000_000
-#: About so many documents of each open group are heads in each round, the last number in all further rounds.
-HEADS = (8, 64, 512)
+#: Cells of a group that are compared with each other at once, and those that a larger group meets before it is split.
+SIDE, HEADS = 4096, (64, 4096)
+#: Shingles by which a passage may be shifted inside a repeat.
+DRIFT = 5
 #: Shingles of LENGTH that two passages share at a Jaccard similarity of SIMILARITY.
 SHARED = int(np.ceil(2 * LENGTH * SIMILARITY / (1 + SIMILARITY)))
 _SALT = tokens.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
-LINK = "key long, doc_id long, lo int, hi int, head long, head_lo int, head_hi int, cell long, n int"
+#: Bits of a place in a batch of shingles.
+_PLACE = np.uint64((1 << 28) - 1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(int(_BASE), -1, 2**64))
+#: Kinds of rows that a map task sends: cells of a key's first document, links inside the task, all other cells.
+FIRST, LINK, REST = 0, 1, 2
+SENT = "key long, kind int, doc_id long, lo int, hi int, mid int, other long"
+FOUND = "doc_id long, partner_id long, start_word int, end_word int, similarity double"
+NAMES = ["doc_id", "partner_id", "start_word", "end_word", "similarity"]
+
+
+def minima(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
+    """The places in v[start:end] of each sequence that hold the first minimum of some run of `least` values.
+
+    Values are ordered by their upper bits and then by place, so that no two are equal.
+    """
+    if len(v) < least:
+        return np.zeros(0, np.int64)
+    low, width = (v & ~_PLACE) | np.arange(len(v), dtype=np.uint64), 1
+    while 2 * width <= least:  # minima of runs of 1, 2, 4, ... values, and at last of two runs that overlap
+        low, width = np.minimum(low[:-width], low[width:]), 2 * width
+    low = np.minimum(low[: len(low) - (least - width)], low[least - width :])
+    inside = np.zeros(len(v) + 1, np.int64)
+    wide = ends - starts >= least
+    np.add.at(inside, starts[wide], 1)
+    np.add.at(inside, ends[wide] - least + 1, -1)
+    at = (low[np.cumsum(inside)[: len(low)] > 0] & _PLACE).astype(np.int64)
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] != at[:-1]
+    return at[new]
 
 
 def compact_windows(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of all compact windows of at least that width in v[start:end] of each sequence.
 
-    The Cartesian trees of all sequences grow from their roots, one level at a time.
+    These are the upper nodes of the sequences' Cartesian trees: a node's window is
+    wide enough if and only if it is the first minimum of some run of `least`
+    values, and so are then all nodes above it. The trees of those places alone are
+    grown from left to right, with the rightmost branch on a stack.
     """
-    found = []
+    at = minima(v, starts, ends, least)
+    value = ((v[at] & ~_PLACE) | at.astype(np.uint64)).tolist()
     wide = ends - starts >= least
-    s, e = starts[wide], ends[wide]
-    while len(s):
-        size = e - s
-        head = np.cumsum(size) - size
-        index = np.arange(size.sum()) + np.repeat(s - head, size)
-        here = v[index]
-        low = np.minimum.reduceat(here, head)
-        at = np.flatnonzero(here == np.repeat(low, size))
-        # the first place of the minimum in each interval
-        of = np.searchsorted(head, at, "right") - 1
-        first = np.ones(len(at), bool)
-        first[1:] = of[1:] != of[:-1]
-        c = index[at[first]]
-        found.append((s, c, e - 1))
-        s, e = np.concatenate([s, c + 1]), np.concatenate([c, e])
-        wide = e - s >= least
-        s, e = s[wide], e[wide]
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+    starts, ends = starts[wide], ends[wide]
+    s, e = np.searchsorted(at, starts), np.searchsorted(at, ends)
+    before, after = [-1] * len(at), [-1] * len(at)  # the nodes that end each node's window
+    for first, last in zip(s.tolist(), e.tolist(), strict=True):
+        branch = []
+        for i in range(first, last):
+            while branch and value[branch[-1]] > value[i]:
+                after[branch.pop()] = i
+            if branch:
+                before[i] = branch[-1]
+            branch.append(i)
+    before, after = np.array(before, np.int64), np.array(after, np.int64)
+    of = np.repeat(np.arange(len(starts)), e - s)
+    return np.where(before < 0, starts[of], at[before] + 1), at, np.where(after < 0, ends[of], at[after]) - 1
 
 
 def _shingled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,97 +126,99 @@ def _shingled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return tokens.shingles(words, SHINGLE), of[:-1], np.maximum(of[1:] - SHINGLE + 1, of[:-1])
 
 
-def cells(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signature, first and last passage of each cell of all bands."""
-    keys, places, lasts = [], [], []
+def cells(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Signature, first and last passage, and place of the first function's min-hash, of each cell of all bands."""
+    found = []
     with np.errstate(over="ignore"):
         for band in range(BANDS):
             tiles = []
             for j in (2 * band, 2 * band + 1):
                 v = tokens.mix(h ^ _SALT[j])
                 lo, c, hi = compact_windows(v, starts, ends)
-                first = np.maximum(lo, c - LENGTH + 1)
-                order = np.argsort(first)
-                tiles.append((first[order], v[c][order]))
-            (p, a), (q, b) = tiles
+                tiles.append((np.maximum(lo, c - LENGTH + 1), v[c], c))  # in order of place
+            (p, a, c), (q, b, _) = tiles
             at = np.union1d(p, q)
             if not len(at):
                 continue
-            both = a[np.searchsorted(p, at, "right") - 1] * _SALT[0] + b[np.searchsorted(q, at, "right") - 1]
-            keys.append(tokens.mix(both + _SALT[band]))
-            places.append(at)
+            own = np.searchsorted(p, at, "right") - 1
+            both = a[own] * _SALT[0] + b[np.searchsorted(q, at, "right") - 1]
             # a cell ends where the next one of its text starts, or at the text's last passage
-            lasts.append(np.minimum(np.append(at[1:], at[-1] + len(h)) - 1, ends[np.searchsorted(starts, at, "right") - 1] - LENGTH))
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(places), np.concatenate(lasts)
+            last = np.minimum(np.append(at[1:], at[-1] + len(h)) - 1, ends[np.searchsorted(starts, at, "right") - 1] - LENGTH)
+            found.append((tokens.mix(both + _SALT[band]), at, last, c[own]))
+    if not found:
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def contents(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of the shingles of each cell, wherever it lies."""
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.full(len(h) + 1, x, np.uint64)) for x in (_BASE, _BACK))
+        total = np.append(np.uint64(0), np.cumsum(h * up[: len(h)]))
+        size = (last - first + LENGTH).astype(np.uint64)
+        return tokens.mix((total[last + LENGTH] - total[first]) * down[first] + size)
 
 
-def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
-    """One cell of each key, to be sent on, and the others' links to it, gathered by pair of documents."""
-    order = np.lexsort((place, doc, key))
-    key, doc, place, last = key[order], doc[order], place[order], last[order]
+def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndarray, mid: np.ndarray, content: np.ndarray) -> pa.RecordBatch:
+    """The cells of one document of each key, to be sent on; links of cells to another document's; all other cells.
+
+    Of equal cells of a document only the first counts.
+    """
+    order = np.lexsort((place, content, doc, key))
+    again = np.zeros(len(key), bool)
+    again[1:] = (key[order][1:] == key[order][:-1]) & (doc[order][1:] == doc[order][:-1]) & (content[order][1:] == content[order][:-1])
+    order = order[~again]
+    key, doc, place, last, mid = (x[order] for x in (key, doc, place, last, mid))
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    far = doc != doc[head]
-    # all places where the head's document holds the key, not only its first
-    key_at = np.flatnonzero(new)
-    head_last = np.maximum.reduceat(np.where(far, -1, last), key_at) if len(key_at) else last
-    last_of = np.repeat(head_last, np.diff(np.append(key_at, len(key))))
-    # each document of a key
+    at = np.flatnonzero(new)
+    size = np.diff(np.append(at, len(key)))
+    first = np.repeat(at, size)
+    far = doc != doc[first]
+    # the first cell of another document, if there is one, for the further cells of the first document
+    after = np.minimum.reduceat(np.where(far, np.arange(len(key)), len(key)), at) if len(at) else at
+    after = np.repeat(after, size)
+    met = np.where(far, first, after)
+    x = np.flatnonzero(met < len(key))
+    a, b, lo, hi, shift = _turned(doc[x], doc[met[x]], place[x], last[x], mid[x] - mid[met[x]])
+    by = np.lexsort((shift, b, a))
+    a, b, lo, hi, shift = (y[by] for y in (a, b, lo, hi, shift))
+    edge = np.ones(len(a), bool)
+    edge[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (shift[1:] != shift[:-1])
+    g = np.flatnonzero(edge)
+    lo, hi = (np.minimum.reduceat(lo, g), np.maximum.reduceat(hi, g)) if len(g) else (lo, hi)
+    a, b, shift = a[g], b[g], shift[g]
     one = new.copy()
     one[1:] |= doc[1:] != doc[:-1]
-    first = np.flatnonzero(one)
-    held_by = np.bincount(np.cumsum(new)[first] - 1, minlength=len(key_at))
-    member_last = np.maximum.reduceat(last, first) if len(first) else last
-    rest = ~new[first]
-    cell, member, member_lo, member_hi = key[first][rest].view(np.int64), doc[first][rest], place[first][rest], member_last[rest]
-    a, b, at_head = doc[far], doc[head[far]], head[far]
-    by = np.lexsort((b, a))
-    a, b = a[by], b[by]
-    lo, hi, head_lo, head_hi = (x[by] for x in (place[far], last[far], place[at_head], last_of[far]))
-    edge = np.ones(len(a), bool)
-    edge[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(edge)
-    red = (lambda f, x: f.reduceat(x, at)) if len(at) else (lambda f, x: x)
-    n, m, k = int(new.sum()), len(at), len(cell)
-    with np.errstate(over="ignore"):
-        own = tokens.mix(tokens.mix(a[at].astype(np.uint64)) + b[at].astype(np.uint64)).view(np.int64)  # deals the links out evenly
-        dealt = tokens.mix(tokens.mix(member.astype(np.uint64)) + cell.view(np.uint64)).view(np.int64)
-    join = lambda x, y, z, kind: pa.array(np.concatenate([x, y, z]).astype(kind))
-
-    def held(y, kind, part):
-        """A column of one of the three kinds of rows: heads, links, other documents of a key."""
-        sizes = [n, m, k]
-        parts = [y if i == part else np.zeros(size, kind) for i, size in enumerate(sizes)]
-        return pa.array(np.concatenate(parts).astype(kind), mask=np.repeat(np.arange(3) != part, sizes))
-
-    return pa.RecordBatch.from_arrays(
-        [
-            join(key[new].view(np.int64), own, dealt, np.int64),
-            join(doc[new], a[at], member, np.int64),
-            join(place[new], red(np.minimum, lo), member_lo, np.int32),
-            join(head_last, red(np.maximum, hi), member_hi, np.int32),
-            held(b[at], np.int64, 1),
-            held(red(np.minimum, head_lo), np.int32, 1),
-            held(red(np.maximum, head_hi), np.int32, 1),
-            held(cell, np.int64, 2),
-            held(held_by, np.int32, 0),
-        ],
-        ["key", "doc_id", "lo", "hi", "head", "head_lo", "head_hi", "cell", "n"],
-    )
+    held = np.where(new, np.repeat(np.add.reduceat(one, at), size) if len(at) else 0, 0)[~far]
+    with np.errstate(over="ignore"):  # links and other cells are dealt out evenly
+        dealt = [tokens.mix(tokens.mix(u.astype(np.uint64)) + w.astype(np.uint64)) for u, w in ((a, b), (doc[far], key[far]))]
+    part = lambda *x: pa.array(np.concatenate(x))
+    columns = [
+        part(key[~far].view(np.int64), dealt[0].view(np.int64), dealt[1].view(np.int64)),
+        pa.array(np.repeat(np.array([FIRST, LINK, REST], np.int32), [int((~far).sum()), len(a), int(far.sum())])),
+        part(doc[~far], a, doc[far]),
+        *(part(y[~far], z, y[far]).cast(pa.int32()) for y, z in ((place, lo), (last, hi), (mid, shift))),
+        part(held.astype(np.int64), b, key[far].view(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["key", "kind", "doc_id", "lo", "hi", "mid", "other"])
+
+
+def _turned(a, b, lo, hi, shift):
+    """A link with the smaller document first: passages lo .. hi of a lie at lo - shift .. hi - shift of b."""
+    turn = a > b
+    return np.where(turn, b, a), np.where(turn, a, b), np.where(turn, lo - shift, lo), np.where(turn, hi - shift, hi), np.where(turn, -shift, shift)
 
 
 def _celled(parts):
     waiting, n = [], 0
     for part in parts:
-        for batch in tokens.batches(part, most=2 << 20):
+        for batch in tokens.batches(part, most=1 << 20):
             h, starts, ends = _shingled(batch)
-            key, at, last = cells(h, starts, ends)
+            key, at, last, mid = cells(h, starts, ends)
             of = np.searchsorted(starts, at, "right") - 1
             doc = batch.column(batch.schema.get_field_index("doc_id")).to_numpy()
-            waiting.append((key, doc[of], at - starts[of], last - starts[of]))
+            waiting.append((key, doc[of], *((x - starts[of]).astype(np.int32) for x in (at, last, mid)), contents(h, at, last)))
             n += len(key)
             if n >= MAX_CELLS:
                 yield _combined(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
@@ -187,82 +227,131 @@ def _celled(parts):
         yield _combined(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
 
-def oriented(rows: DataFrame) -> DataFrame:
-    """Pairs with a < b, each once, with the stretch of each document that its rows cover."""
-    turn = F.col("a") > F.col("b")
-    rows = rows.where("a <> b").select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_lo", "b_lo"), ("a_hi", "b_hi"), ("b_lo", "a_lo"), ("b_hi", "a_hi"))])
-    return rows.groupBy("a", "b").agg(F.min("a_lo").alias("a_lo"), F.max("a_hi").alias("a_hi"), F.min("b_lo").alias("b_lo"), F.max("b_hi").alias("b_hi"))
-
-
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of documents to verify, (a, b, a_lo, a_hi, b_lo, b_hi) with where their passages start, and the
-    cells (key, doc_id, lo, hi, n) of the groups of n documents, three or more."""
-    rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_celled, LINK)
+    """Pairs (a, b, shift, lo, hi) of documents to verify, a < b, and the cells (key, doc_id, lo, hi, mid) of groups of three or more."""
+    rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_celled, SENT)
     group = W.Window.partitionBy("key")
-    sent = F.col("n").isNotNull()
-    known = F.col("head").isNotNull()
-    rows = rows.withColumn("__d", F.min(F.when(sent, F.col("doc_id"))).over(group))
-    own = sent & (F.col("doc_id") == F.col("__d"))
-    ends = [F.min(F.when(own, F.col("lo"))).over(group).alias("lo"), F.max(F.when(own, F.col("hi"))).over(group).alias("hi")]
-    rows = rows.withColumn("__h", F.struct(F.col("__d").alias("doc_id"), *ends)).withColumn("__n", F.sum(F.when(sent, F.col("n"))).over(group))
-    pick = lambda name, field: F.when(known, F.col(name)).otherwise(F.when(sent, F.col("__h")[field])).alias(name)
-    rows = rows.where(~sent | (F.col("__n") > 1)).select("key", "doc_id", "lo", "hi", pick("head", "doc_id"), pick("head_lo", "lo"), pick("head_hi", "hi"), "cell", F.when(sent, F.col("__n")).alias("n"))
-    rows = cut(rows, "cells")
-    pairs = rows.where("head is not null").select(F.col("doc_id").alias("a"), F.col("head").alias("b"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), F.col("head_lo").alias("b_lo"), F.col("head_hi").alias("b_hi"))
-    many = rows.where("n > 2").select("key", "doc_id", "lo", "hi")
-    groups = many.groupBy("key").agg(F.lit(1).alias("many"))
-    rest = salted_left_join(rows.where("cell is not null").select(F.col("cell").alias("key"), "doc_id", "lo", "hi"), groups, ["key"], ["doc_id"], hint="merge").where("many = 1")
-    cells = many.union(rest.select("key", "doc_id", "lo", "hi")).groupBy("key", "doc_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    sizes = cells.groupBy("key").agg(F.count("*").alias("n")).where("n > 2")
-    cells = salted_left_join(cells, sizes, ["key"], ["doc_id"], hint="merge").where("n is not null")
-    return oriented(pairs), cells
+    cell = F.struct("doc_id", "lo", "mid")
+    rows = rows.withColumn("__one", F.min(F.when(F.col("kind") == FIRST, cell)).over(group)).withColumn("__n", F.sum(F.when(F.col("kind") == FIRST, F.col("other"))).over(group))
+    rows = rows.where(f"kind <> {FIRST} or __n > 1")
+    rows = rows.withColumn("__two", F.min(F.when((F.col("kind") == FIRST) & (F.col("doc_id") != F.col("__one.doc_id")), cell)).over(group))
+    met = F.when(F.col("kind") == FIRST, F.when(F.col("doc_id") == F.col("__one.doc_id"), F.col("__two")).otherwise(F.col("__one")))
+    rows = cut(rows.withColumn("__met", met).select("key", "kind", "doc_id", "lo", "hi", "mid", "other", F.col("__n").alias("n"), F.col("__met.doc_id").alias("b"), (F.col("mid") - F.col("__met.mid")).alias("shift")), "cells")
+    far = rows.where("b is not null")
+    turn = F.col("doc_id") > F.col("b")
+    either = lambda x, y: F.when(turn, x).otherwise(y)
+    far = far.select(either(F.col("b"), F.col("doc_id")).alias("a"), either(F.col("doc_id"), F.col("b")).alias("b"), either(-F.col("shift"), F.col("shift")).alias("shift"), *[either(F.col(c) - F.col("shift"), F.col(c)).alias(c) for c in ("lo", "hi")])
+    own = rows.where(f"kind = {LINK}").select(F.col("doc_id").alias("a"), F.col("other").alias("b"), F.col("mid").alias("shift"), "lo", "hi")
+    pairs = own.union(far).groupBy("a", "b", "shift").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    many = rows.where(f"kind = {FIRST} and n > 2").select("key", "doc_id", "lo", "hi", "mid")
+    rest = rows.where(f"kind = {REST}").select(F.col("other").alias("key"), "doc_id", "lo", "hi", "mid")
+    rest = salted_left_join(rest, many.groupBy("key").agg(F.lit(1).alias("many")), ["key"], ["doc_id", "lo"], hint="merge").where("many = 1")
+    return pairs, many.union(rest.select(*many.columns))
 
 
 def _arrays(parts):
     for part in parts:
-        for batch in tokens.batches(part):
+        for batch in tokens.batches(part, most=1 << 20):
             h, starts, ends = _shingled(batch)
-            index = np.arange((ends - starts).sum()) + np.repeat(starts - (np.cumsum(ends - starts) - (ends - starts)), ends - starts)
+            size = ends - starts
+            index = np.arange(size.sum()) + np.repeat(starts - (np.cumsum(size) - size), size)
             items = (h[index] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            offsets = np.append(0, np.cumsum(ends - starts))
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(items))], ["doc_id", "sh"])
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(items))], ["doc_id", "sh"])
+
 
+def similar(x: np.ndarray, y: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages of x that a passage of y at about that place repeats, the passages of y, and how many shingles they share.
 
-def repeats(one: np.ndarray, two: np.ndarray) -> list[tuple[int, int, float]]:
-    """Spans [start, end) of shingles of `one` whose passages are nearly in `two`, and the best similarity."""
-    if len(one) < LENGTH:
-        return []
-    total = np.append(0, np.cumsum(np.isin(one, two)))
-    shared = total[LENGTH:] - total[:-LENGTH]
-    at = np.flatnonzero(shared >= SHARED)
-    if not len(at):
-        return []
-    breaks = np.flatnonzero(np.diff(at) > LENGTH) + 1
-    return [(int(x[0]), int(x[-1]) + LENGTH, float((m := shared[x].max()) / (2 * LENGTH - m))) for x in np.split(at, breaks)]
+    Passage p of x lies at p + at of y. Both windows of a pair hold SHARED shingles
+    that the other has no more than DRIFT places beside them.
+    """
+    n = len(x)
+    none = (np.zeros(0, np.int64),) * 3
+    if n < LENGTH:
+        return none
+    # y as far as it is needed, with room for the drift on both sides
+    wide = np.full(n + 2 * DRIFT, 1 << 40)
+    lo, hi = max(at - DRIFT, 0), min(at + n + DRIFT, len(y))
+    if lo >= hi:
+        return none
+    wide[lo - at + DRIFT : hi - at + DRIFT] = y[lo:hi]
+    total = lambda f: np.append(0, np.cumsum(f))
+    p = np.arange(n - LENGTH + 1)
+    here = total(x == wide[DRIFT : DRIFT + n])
+    if (here[LENGTH:] - here[:-LENGTH] == LENGTH).all():
+        return p, p + at, np.full(len(p), LENGTH)
+    same = {e: x == wide[DRIFT + e : DRIFT + e + n] for e in range(-DRIFT, DRIFT + 1)}
+    same = {e: f for e, f in same.items() if f.any()}
+    of_x = total(np.logical_or.reduce(list(same.values()))) if same else np.zeros(n + 1, np.int64)
+    in_x = of_x[p + LENGTH] - of_x[p]
+    p = p[in_x >= SHARED]
+    if not len(p):
+        return none
+    in_x = in_x[p]
+    marked = np.zeros(n + 2 * DRIFT, bool)
+    for e, f in same.items():
+        marked[DRIFT + e : DRIFT + e + n] |= f
+    of_y, of = total(marked), {e: total(f) for e, f in same.items()}
+    best, shift = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
+    # at most LENGTH - SHARED shingles differ, so most of a passage lies at one distance
+    for d in (d for d, f in same.items() if np.count_nonzero(f) >= LENGTH // 4):
+        pairs = sum(t[p + LENGTH - max(0, e - d)] - t[p + max(0, d - e)] for e, t in of.items())
+        m = np.minimum(np.minimum(pairs, in_x), of_y[p + DRIFT + d + LENGTH] - of_y[p + DRIFT + d])
+        q = p + at + d
+        better = (m > best) & (q >= 0) & (q + LENGTH <= len(y))
+        best[better], shift[better] = m[better], d
+    good = best >= SHARED
+    return p[good], p[good] + at + shift[good], best[good]
+
+
+def spans(at: np.ndarray, shared: np.ndarray) -> list[tuple[int, int, float]]:
+    """Runs [start, end) of words that passages (by where they start) cover, and the best similarity in each."""
+    order = np.argsort(at, kind="stable")
+    at, shared = at[order], shared[order]
+    cuts = np.flatnonzero(np.diff(at) > LENGTH) + 1
+    return [(int(x[0]), int(x[-1]) + LENGTH + SHINGLE - 1, float(s.max() / (2 * LENGTH - s.max()))) for x, s in zip(np.split(at, cuts), np.split(shared, cuts), strict=True)] if len(at) else []
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return column.flatten().to_numpy(), np.append(0, np.cumsum(column.value_lengths().to_numpy())).astype(np.int64)
 
 
 def _verified(parts):
     for part in parts:
         rows = []
-        sides = [part.column(part.schema.get_field_index(c)) for c in ("sa", "sb")]
-        (flat_a, at_a), (flat_b, at_b) = ((x.flatten().to_numpy(), np.append(0, np.cumsum(x.value_lengths().to_numpy()))) for x in sides)
-        for k, r in enumerate(part.select(["a", "b", "a_lo", "b_lo"]).to_pylist()):
-            one, two = flat_a[at_a[k] : at_a[k + 1]], flat_b[at_b[k] : at_b[k + 1]]
-            x, y = repeats(one, two), repeats(two, one)
-            if x and y:
-                rows += [(r["a"], r["b"], r["a_lo"] + s, r["a_lo"] + e + SHINGLE - 1, q) for s, e, q in x]
-                rows += [(r["b"], r["a"], r["b_lo"] + s, r["b_lo"] + e + SHINGLE - 1, q) for s, e, q in y]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "partner_id", "start_word", "end_word", "similarity"])
+        column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+        (x, at_x), (y, at_y) = _lists(column("sa")), _lists(column("sb"))
+        of = np.append(0, np.cumsum(column("at").value_lengths().to_numpy()))
+        at = column("at").flatten()
+        shift, lo, hi = (at.field(c).to_numpy() for c in ("shift", "lo", "hi"))
+        for k, (a, b, x_lo, y_lo) in enumerate(zip(*(column(c).to_numpy().tolist() for c in ("a", "b", "a_lo", "b_lo")), strict=True)):
+            one, two = x[at_x[k] : at_x[k + 1]], y[at_y[k] : at_y[k + 1]]
+            for i in range(of[k], of[k + 1]):
+                start = max(lo[i], 0)
+                p, q, shared = similar(one[start - x_lo : hi[i] + LENGTH - x_lo], two, start - shift[i] - y_lo)
+                rows += [(a, b, start + s, start + e, sim) for s, e, sim in spans(p, shared)]
+                rows += [(b, a, y_lo + s, y_lo + e, sim) for s, e, sim in spans(q, shared)]
+        yield _batch(rows, NAMES, KINDS)
 
 
 def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The repeats (doc_id, partner_id, start_word, end_word, similarity) that the pairs' stretches hold, in both documents."""
-    part = lambda s: F.slice("sh", F.col(f"{s}_lo") + 1, F.col(f"{s}_hi") - F.col(f"{s}_lo") + LENGTH).alias(f"s{s}")
-    pairs = pairs.join(held.withColumnRenamed("doc_id", "a"), "a").select(*pairs.columns, part("a"))
-    pairs = pairs.join(held.withColumnRenamed("doc_id", "b"), "b").select("a", "b", "a_lo", "b_lo", "sa", part("b"))
-    return cut(pairs.mapInArrow(_verified, "doc_id long, partner_id long, start_word int, end_word int, similarity double"), "repeats")
+    """The repeats (doc_id, partner_id, start_word, end_word, similarity) that the pairs hold, in both documents."""
+    in_b = lambda c: F.col(c) - F.col("shift")
+    ends = [F.min("lo").alias("a_lo"), F.max("hi").alias("a_hi"), F.min(in_b("lo")).alias("b_lo"), F.max(in_b("hi")).alias("b_hi")]
+    pairs = pairs.groupBy("a", "b").agg(F.collect_list(F.struct("shift", "lo", "hi")).alias("at"), *ends)
+    pairs = pairs.withColumn("a_lo", F.greatest("a_lo", F.lit(0))).withColumn("b_lo", F.greatest(F.col("b_lo") - DRIFT, F.lit(0)))
+    part = lambda lo, hi: F.slice("sh", F.col(lo) + 1, F.greatest(F.col(hi) + LENGTH + DRIFT - F.col(lo), F.lit(0)))
+    pairs = pairs.join(held.withColumnRenamed("doc_id", "a"), "a").select(*pairs.columns, part("a_lo", "a_hi").alias("sa"))
+    pairs = pairs.join(held.withColumnRenamed("doc_id", "b"), "b").select("a", "b", "at", "a_lo", "b_lo", "sa", part("b_lo", "b_hi").alias("sb"))
+    return cut(pairs.mapInArrow(_verified, FOUND), "repeats")
 
 
 def classes(found: DataFrame) -> DataFrame:
@@ -270,51 +359,195 @@ def classes(found: DataFrame) -> DataFrame:
     return components(found.where("doc_id > partner_id").select(F.col("doc_id").alias("a"), F.col("partner_id").alias("b")).distinct())
 
 
-def merged(found: DataFrame) -> DataFrame:
-    """found with the overlapping spans of one document and partner as one."""
-    pair = W.Window.partitionBy("doc_id", "partner_id").orderBy("start_word", "end_word")
-    apart = F.coalesce(F.col("start_word") > F.max("end_word").over(pair.rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(True))
-    rows = found.withColumn("apart", apart.cast("int")).withColumn("nth", F.sum("apart").over(pair.rowsBetween(W.Window.unboundedPreceding, 0)))
-    return rows.groupBy("doc_id", "partner_id", "nth").agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), F.max("similarity").alias("similarity")).drop("nth")
+def _completed(parts):
+    for part in parts:
+        rows = []
+        column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+        sh, at = _lists(column("sh"))
+        of = np.append(0, np.cumsum(column("spans").value_lengths().to_numpy()))
+        flat = column("spans").flatten()
+        start, end, partner, sim = (flat.field(c).to_numpy() for c in ("start_word", "end_word", "partner_id", "similarity"))
+        for k, (doc, root) in enumerate(zip(column("doc_id").to_numpy().tolist(), column("root").to_numpy().tolist(), strict=True)):
+            x = sh[at[k] : at[k + 1]].astype(np.int64).view(np.uint64)
+            last = len(x) - LENGTH
+            windows = contents(x, np.arange(last + 1), np.arange(last + 1))
+            who, best = np.full(last + 1, np.iinfo(np.int64).max), np.zeros(last + 1)
+            for i in range(of[k], of[k + 1]):
+                here = slice(start[i], end[i] - LENGTH - SHINGLE + 2)
+                who[here], best[here] = np.minimum(who[here], partner[i]), np.maximum(best[here], sim[i])
+            # what is true of a passage is true of equal ones
+            _, group = np.unique(windows, return_inverse=True)
+            for f, values in ((np.minimum, who), (np.maximum, best)):
+                of_group = values[np.unique(group, return_index=True)[1]]
+                f.at(of_group, group, values)
+                values[:] = of_group[group]
+            p = np.flatnonzero(best)
+            for run in np.split(p, np.flatnonzero(np.diff(p) > LENGTH) + 1):
+                rows.append((doc, int(run[0]), int(run[-1]) + LENGTH + SHINGLE - 1, int(who[run].min()), float(best[run].max()), root))
+        yield _batch(rows, ["doc_id", "start_word", "end_word", "partner_id", "similarity", "class_id"], [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.int64()])
+
+
+def _overlaps(flat: np.ndarray, at: np.ndarray, some: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """For each of some cells and of others, the smaller count of their shingles that the other has too.
+
+    Cell k is flat[at[k]:at[k + 1]], of shingles numbered from 0, or -1 for those that no other cell holds.
+    """
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    width = int(flat.max(initial=-1)) + 1
+    least = np.zeros((2, len(some), len(others)), np.float32)
+    for lo in range(0, width, 1024):  # a bounded part of the matrix at once
+        here = (flat >= lo) & (flat < lo + 1024)
+        n = min(1024, width - lo)
+        many = np.bincount(row[here] * n + (flat[here] - lo), minlength=(len(at) - 1) * n).reshape(-1, n).astype(np.float32)
+        has = (many > 0).astype(np.float32)
+        least[0] += many[some] @ has[others].T
+        least[1] += has[some] @ many[others].T
+    return least.min(0)
+
+
+def _firsts(x: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The shingles of x that are among the first LENGTH - SHARED + 1 of one of its passages, those not in `common` before the others."""
+    least = LENGTH - SHARED + 1
+    with np.errstate(over="ignore"):
+        rank = (tokens.mix(x.astype(np.int64).view(np.uint64)) >> np.uint64(2)) + (np.isin(x, common).astype(np.uint64) << np.uint64(62))
+    windows = np.lib.stride_tricks.sliding_window_view(rank, LENGTH)
+    last = np.partition(windows, least - 1, axis=1)[:, least - 1]
+    chosen = np.zeros(len(x), bool)
+    row, k = np.nonzero(windows <= last[:, None])
+    chosen[row + k] = True
+    return np.unique(x[chosen])
+
+
+def _runs(parts, names: tuple[str, ...]):
+    """Tables of the rows that agree in names; they come in order."""
+    waiting = []
+    for part in parts:
+        if not part.num_rows:
+            continue
+        part = pa.RecordBatch.from_arrays(part.columns, part.schema.names)
+        k = np.column_stack([part.column(part.schema.get_field_index(c)).to_numpy() for c in names])
+        edges = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1).tolist(), len(k)]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if waiting and (lo or tuple(k[0]) != waiting[0]):
+                yield pa.Table.from_batches(waiting[1:])
+                waiting = []
+            waiting = waiting or [tuple(k[lo])]
+            waiting.append(part.slice(lo, hi - lo))
+    if waiting:
+        yield pa.Table.from_batches(waiting[1:])
+
+
+MET = f"{FOUND}, key long, lo int, token int"
+
+
+def _met(parts, split: bool):
+    """Of each block of a group's cells and its heads: repeats that join classes; for groups to be split, the cells' first shingles."""
+    made, firsts = [], []
+    for run in _runs(parts, ("key", "block")):
+        sh = run["sh"].combine_chunks()
+        flat, at = _lists(sh.chunk(0) if isinstance(sh, pa.ChunkedArray) else sh)
+        doc, lo, mid, cls, u, n, head, own = (run[c].to_numpy() for c in ("doc_id", "lo", "mid", "cls", "u", "n", "head", "own"))
+        _, number, often = np.unique(flat, return_inverse=True, return_counts=True)
+        number = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[number]
+        if n[0] <= SIDE:  # equal cells of a class count once
+            once = {(c, flat[i:j].tobytes()): k for k, (c, i, j) in enumerate(zip(cls.tolist(), at[:-1], at[1:], strict=True))}
+            head = np.zeros(len(doc), bool)
+            head[list(once.values())] = True
+            own = head
+        heads, members = np.flatnonzero(head), np.flatnonzero(own)
+        # of two cells of different classes one at least is outside the largest class
+        kinds, of_kind, many = np.unique(cls, return_inverse=True, return_counts=True)
+        minor = of_kind != np.argmax(many)
+        cls = cls.copy()
+        sides = [(heads[minor[heads]], members), (heads[~minor[heads]], members[minor[members]])]
+        for some, others in ((x[i : i + 256], y) for x, y in sides for i in range(0, len(x), 256)):
+            if not len(others) or n[0] <= SIDE and not minor[some[0]]:
+                continue
+            later = (u[others] > u[some][:, None]) | ((u[others] == u[some][:, None]) & (others > some[:, None]))
+            if n[0] <= SIDE:  # all are heads: pairs with the largest class are met from the other side alone
+                later |= ~minor[others]
+            near = later & (doc[some][:, None] != doc[others]) & (cls[some][:, None] != cls[others])
+            if near.any():
+                near &= _overlaps(number, at, some, others) >= SHARED
+            for i, j in np.argwhere(near):
+                a, b = some[i], others[j]
+                if cls[a] == cls[b]:
+                    continue
+                p, q, shared = similar(flat[at[a] : at[a + 1]], flat[at[b] : at[b + 1]], int((mid[b] - lo[b]) - (mid[a] - lo[a])))
+                if len(p):
+                    made += [(doc[a], doc[b], lo[a] + s, lo[a] + e, sim) for s, e, sim in spans(p, shared)]
+                    made += [(doc[b], doc[a], lo[b] + s, lo[b] + e, sim) for s, e, sim in spans(q, shared)]
+                    cls[cls == cls[b]] = cls[a]
+        if split and n[0] > SIDE:
+            common = np.concatenate([np.zeros(0, np.int32), *(flat[at[i] : at[i + 1]] for i in heads)])
+            key = run["key"][0].as_py()
+            for i in members:
+                firsts += [(doc[i], key, lo[i], t) for t in _firsts(flat[at[i] : at[i + 1]], common)]
+        if len(made) + len(firsts) > 20000:
+            yield _both(made, firsts)
+            made, firsts = [], []
+    yield _both(made, firsts)
+
+
+def _both(made: list[tuple], firsts: list[tuple]) -> pa.RecordBatch:
+    rows = [(*r, None, None, None) for r in made] + [(d, None, None, None, None, key, lo, t) for d, key, lo, t in firsts]
+    return _batch(rows, [*NAMES, "key", "lo", "token"], [*KINDS, pa.int64(), pa.int32(), pa.int32()])
 
 
 def settled(found: DataFrame, cells: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """found with the repeats between documents of a group that its heads have not linked, and the classes of all."""
-    u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(2.0**53)
-    rows, done, step = cut(cells.withColumn("u", u), "groups"), 0, 0
+    """found with the repeats between cells of a group that the first links have left in different classes, and the classes of all."""
+    roots = classes(found)
+    u = F.shiftrightunsigned(F.xxhash64("doc_id", "lo"), 11) / F.lit(2.0**53)
+    rows, done, split = cells.withColumn("u", u), 0, True
     while True:
-        roots = classes(found)
-        spans = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")).join(roots, "id")
-        seen = F.exists("spans", lambda s: (s.start_word <= F.col("hi")) & (s.end_word - LENGTH - SHINGLE + 1 >= F.col("lo")))
+        covered = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")).join(roots, "id")
+        seen = F.coalesce(F.exists("spans", lambda s: (s.start_word <= F.col("hi")) & (s.end_word - LENGTH - SHINGLE + 1 >= F.col("lo"))), F.lit(False))
+        at = rows.join(covered.hint("merge"), F.col("doc_id") == F.col("id"), "left").withColumn("seen", seen)
         # documents without a repeat in the cell are classes of their own
-        at = rows.join(spans.hint("merge"), F.col("doc_id") == F.col("id"), "left")
-        at = at.withColumn("seen", F.coalesce(seen, F.lit(False)))
-        at = at.select(*rows.columns, F.xxhash64("seen", F.when(F.col("seen"), F.col("root")).otherwise(F.col("doc_id"))).alias("class"))
-        mixed = at.where(F.col("n") > done).groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select("key", F.lit(1).alias("open"))
-        left = cut(salted_left_join(at, mixed, ["key"], ["doc_id"], hint="merge").where("open = 1").drop("open"), "open")
+        at = cut(at.select(*rows.columns, F.xxhash64("seen", F.when(F.col("seen"), F.col("root")).otherwise(F.col("doc_id"))).alias("cls")), "classed")
+        mixed = at.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("most"), F.count("*").alias("n")).where("least < most").where(F.col("n") > done).select("key", "n")
+        left = salted_left_join(at, mixed, ["key"], ["doc_id", "lo"], hint="merge").where("n is not null")
+        left = cut(left, "open")
         if not left.limit(1).count():
             return found, roots
-        more = done + HEADS[min(step, len(HEADS) - 1)]
-        heads = left.where((F.col("u") * F.col("n") >= done) & (F.col("u") * F.col("n") < more)).groupBy("key").agg(F.collect_list(F.struct(F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"), F.col("class").alias("other"))).alias("heads"))
-        met = salted_left_join(left, heads, ["key"], ["doc_id"], hint="merge").select(F.col("doc_id").alias("a"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), "class", F.inline("heads"))
-        pairs = cut(oriented(met.where("class <> other")), "pairs")
-        found = found.union(verified(pairs, held)).distinct()
-        rows, done, step = left.select(*rows.columns), more, step + 1
+        more = done + HEADS[not split]
+        head = (F.col("n") <= SIDE) | ((F.col("u") * F.col("n") >= done) & (F.col("u") * F.col("n") < more))
+        sh = F.slice("sh", F.col("lo") + 1, F.col("hi") - F.col("lo") + LENGTH)
+        full = left.join(held.hint("merge"), "doc_id").select(*left.columns, sh.alias("sh")).withColumn("head", head)
+        blocks = F.ceil(F.col("n") / SIDE).cast("int")
+        full = full.withColumn("home", F.pmod(F.xxhash64(F.lit("block"), "doc_id", "lo"), blocks).cast("int"))
+        everywhere = F.when(F.col("head"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array("home"))
+        dealt = full.withColumn("block", F.explode(everywhere)).withColumn("own", F.col("block") == F.col("home"))
+        dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block")
+        now = split
+        got = cut(dealt.select("key", "block", "doc_id", "lo", "mid", "cls", "u", "n", "head", "own", "sh").mapInArrow(lambda parts: _met(parts, now), MET), "met")
+        found = cut(found.union(got.where("partner_id is not null").select(*NAMES)), "repeats")
+        roots = classes(found)
+        if split:
+            part = got.where("token is not null").select("key", "doc_id", "lo", "token")
+            part = salted_left_join(part, part.groupBy("key", "token").agg(F.count("*").alias("__n")).where("__n > 1"), ["key", "token"], ["doc_id", "lo"], hint="merge").where("__n is not null")
+            rows = part.join(left.where(F.col("n") > SIDE).select("key", "doc_id", "lo", "hi", "mid", "u").hint("merge"), ["key", "doc_id", "lo"])
+            rows = rows.select(F.xxhash64("key", "token").alias("key"), "doc_id", "lo", "hi", "mid", "u")
+            done, split = 0, False
+        else:
+            rows, done = left.where(F.col("n") > more).select(*rows.columns), more
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """The passages of each document that other documents repeat.
 
-    doc_id, start_word, end_word (of words, from 0, end exclusive), partner_id
-    (the smallest document that it was verified against), n_links, similarity
-    (of the best passage) and class_id: the smallest document that the document's
-    links reach. Documents without repeats have no row.
+    doc_id, start_word, end_word (of words, from 0, end exclusive; a stretch of repeated
+    passages that overlap or touch), partner_id (the smallest document that holds a
+    passage of the stretch and was verified), similarity (of the best passage) and
+    class_id: the smallest document that the document's links reach. Documents
+    without repeats have no row.
     """
     small_batches(docs.sparkSession)
     pairs, cells = links(docs)
-    pairs = cut(pairs, "pairs")
+    pairs, cells = cut(pairs, "pairs"), cut(cells, "cells")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    held = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(_arrays, "doc_id long, sh array<int>").groupBy("doc_id").agg(F.max_by("sh", F.size("sh")).alias("sh")), "shingles")
+    held = cut(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_arrays, "doc_id long, sh array<int>").groupBy("doc_id").agg(F.max_by("sh", F.size("sh")).alias("sh")), "shingles")
     found, roots = settled(verified(pairs, held), cells, held)
-    spans = merged(found).groupBy("doc_id", "start_word", "end_word").agg(F.min("partner_id").alias("partner_id"), F.count("*").alias("n_links"), F.max("similarity").alias("similarity"))
-    return spans.join(roots.withColumnRenamed("id", "doc_id").withColumnRenamed("root", "class_id"), "doc_id").select("doc_id", "start_word", "end_word", "partner_id", "n_links", "similarity", "class_id")
+    of_doc = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word", "partner_id", "similarity")).alias("spans"))
+    of_doc = of_doc.join(roots.withColumnRenamed("id", "doc_id"), "doc_id").join(held, "doc_id")
+    return of_doc.select("doc_id", "root", "spans", "sh").mapInArrow(_completed, "doc_id long, start_word int, end_word int, partner_id long, similarity double, class_id long")
