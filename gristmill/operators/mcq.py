@@ -1,8 +1,9 @@
 """Multiple-choice questions in front of tool calls.
 
-A text is cut at its call spans; each parsed call gets its questions from its own
-row, and the pieces are joined again in their order. Every random choice is an
-order by SHA-1 of a seed and the item, so that runs agree.
+A text is cut at its call spans; each parsed call gets its questions, and the pieces
+are joined again in their order, all inside the text's row: only questions about
+values, which look into the pool, leave it. Every random choice is an order by SHA-1
+of a seed and the item, so that runs agree.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import by_hash, let
-from ..functions.tools import CALL, call_args, call_names, param_schema, parse_call, required_params, tool_name, tool_specs, value_type
+from ..functions.tools import CALL, CALL_CLOSE, call_args, call_payloads, param_schema, parse_call, required_params, tool_name, tool_specs, value_type
 from ..functions.variant import as_map, as_string, display, member, quoted
 from .filters import every_n
 from .param_pool import alternatives
@@ -84,11 +85,14 @@ def value_negatives(called: DataFrame, pool: DataFrame, keys: list[str], most: i
     level = lambda name, on, out: choices.where(F.col("level") == name).select(*[F.col(a).alias(b) for a, b in on], F.col("choices").alias(out))
     fields = fields.join(level("function", [("func", "name"), ("param", "field")], "c1"), ["name", "field"], "left")
     fields = fields.join(level("param", [("param", "field")], "c2"), "field", "left").join(level("type", [("t", "t")], "c3"), "t", "left")
-    spaced = lambda c: F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: display(F.try_parse_json(x))), lambda x: x != F.col("own"))
-    some = lambda c: let(spaced(F.col(c)), lambda x: F.when(F.size(x) > 0, x))
-    picked = F.coalesce(some("c1"), some("c2"), some("c3"), F.array().cast("array<string>"))
-    # the best few of a field are enough, since only `most` are wanted in all
-    few = F.slice(by_hash(picked, F.concat("seed", F.lit("|"), "field")), 1, most)
+    # distinct values: more than one, or one unlike the call's own
+    some = lambda c: F.when((F.size(c) > 1) | (F.get(F.col(c), 0) != F.col("own")), F.col(c))
+    fields = fields.withColumn("picked", F.coalesce(some("c1"), some("c2"), some("c3"), F.array().cast("array<string>")))
+    # from a place that the seed gives, the next values of a list in which neighbours are unrelated
+    start = F.conv(F.substring(F.sha1(F.concat("seed", F.lit("|"), "field").cast("binary")), 1, 8), 16, 10).cast("long") % F.greatest(F.size("picked"), F.lit(1))
+    fields = fields.withColumn("start", start.cast("int"))
+    around = F.concat(F.slice("picked", F.col("start") + 1, F.lit(most + 1)), F.slice("picked", F.lit(1), F.least(F.lit(most + 1), F.col("start"))))
+    few = F.slice(F.filter(F.slice(around, 1, most + 1), lambda x: x != F.col("own")), 1, most)
     wrong = F.transform(few, lambda v: args_json(F.col("shown"), F.col("field"), v))
     gathered = fields.select(*keys, "seed", wrong.alias("wrong")).groupBy(*keys).agg(F.first("seed").alias("seed"), F.array_distinct(F.flatten(F.collect_list("wrong"))).alias("wrong"))
     return gathered.select(*keys, F.slice(by_hash(F.col("wrong"), F.concat("seed", F.lit("|n"))), 1, most).alias("wrong"))
@@ -99,41 +103,75 @@ def values_question(right: Column, wrong: Column, seed: Column) -> Column:
     return F.when(F.size(wrong) > 0, render("mcq_param_values", F.lit("Choose the correct argument object for the tool call."), options, right))
 
 
+def _questions(t: Column, key: Column, wrong: Column | None, prefer_values: bool) -> Column:
+    """An array with the questions of each call of t, empty for calls that can't be parsed."""
+    none = F.array().cast("array<string>")
+
+    def of_row(row: Column) -> Column:
+        named = F.filter(F.transform(row["specs"], lambda s: s["name"]), lambda n: n != "")
+        called = F.array_distinct(F.filter(F.transform(row["calls"], lambda c: as_string(member(c, "name"))), lambda n: n.isNotNull() & (n != "")))
+        return let(F.named_struct(F.lit("calls"), row["calls"], F.lit("specs"), row["specs"], F.lit("names"), F.when(F.size(named) >= 2, named).otherwise(called)), of_calls)
+
+    def of_calls(row: Column) -> Column:
+        return F.transform(row["calls"], lambda call, i: F.when(call.isNotNull(), of_call(row, call, i)).otherwise(""))
+
+    def of_call(row: Column, call: Column, i: Column) -> Column:
+        seed = F.concat(key.cast("string"), F.lit("|"), i.cast("string"))
+        seen = F.named_struct(F.lit("name"), F.coalesce(as_string(member(call, "name")), F.lit("")), F.lit("seed"), seed, F.lit("args"), call_args(call))
+        return let(seen, lambda c: asked(row, c, i))
+
+    def asked(row: Column, c: Column, i: Column) -> Column:
+        required = F.coalesce(F.get(F.filter(row["specs"], lambda s: s["name"] == c["name"]), 0)["required"], none)
+        ask_tool, ask_params = tool_question(c["name"], row["names"], c["seed"]), let(required, lambda r: params_question(r, c["seed"]))
+        ask_values = F.lit(None).cast("string")
+        if wrong is not None:
+            right = let(c["args"], lambda a: args_json(F.transform_values(as_map(a), lambda k, v: display(v))))
+            ask_values = let(F.coalesce(F.get(wrong, i), none), lambda w: F.when(F.size(w) > 0, let(right, lambda r: values_question(r, w, c["seed"]))))
+        parts = (ask_tool, F.coalesce(ask_values, ask_params)) if prefer_values else (ask_tool, ask_params, ask_values)
+        return F.concat(*[F.coalesce(q, F.lit("")) for q in parts])
+
+    specs = F.transform(tool_specs(t), lambda s: F.named_struct(F.lit("name"), tool_name(s), F.lit("required"), required_params(s)))
+    return let(F.named_struct(F.lit("calls"), F.transform(call_payloads(t), parse_call), F.lit("specs"), specs), of_row)
+
+
 def augment(docs: DataFrame, key: str = "uuid", text: str = "text", pool: DataFrame | None = None, most: int = MAX_NEGATIVES, prefer_values: bool = False) -> DataFrame:
-    """M1, M2, M3: docs with questions in front of each parsed call of text; key must be unique.
+    """M1, M2, M3: docs with questions in front of each parsed call of text.
 
     prefer_values asks for required parameters only where the pool gives no
     question about values. Texts without a call, and open calls, stay as they are.
+    Rows may repeat a key: the questions of a row follow from its key and its text.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    specs = tool_specs(t)
-    named = F.filter(F.transform(specs, tool_name), lambda n: n != "")
-    names = F.when(F.size(named) >= 2, named).otherwise(call_names(t))
-    info = F.transform(specs, lambda s: F.named_struct(F.lit("name"), tool_name(s), F.lit("required"), required_params(s), F.lit("schema"), param_schema(s)))
-    cut = docs.select(key, names.alias("names"), info.alias("info"), F.posexplode(F.regexp_extract_all(t, F.lit(CALL), F.lit(1))).alias("call_no", "payload"))
-    parsed = cut.withColumn("call", parse_call(F.col("payload"))).where("call is not null")
-    parsed = parsed.withColumn("name", F.coalesce(as_string(member(F.col("call"), "name")), F.lit(""))).withColumn("args", call_args(F.col("call")))
-    own = F.filter("info", lambda s: s["name"] == F.col("name"))
-    parsed = parsed.withColumn("own", own).withColumn("seed", F.concat(F.col(key).cast("string"), F.lit("|"), F.col("call_no").cast("string")))
-    none = F.array().cast("array<string>")
-    parsed = parsed.withColumn("required", F.when(F.size("own") > 0, F.col("own")[0]["required"]).otherwise(none)).withColumn("schema", F.when(F.size("own") > 0, F.element_at("own", -1)["schema"]))
-    ask_tool, ask_params, ask_values = tool_question(F.col("name"), F.col("names"), F.col("seed")), params_question(F.col("required"), F.col("seed")), F.lit(None).cast("string")
+    rows, wrong = docs, None
     if pool is not None:
-        keys = [key, "call_no"]
-        wrong = value_negatives(parsed.where("args is not null").select(*keys, "name", "args", "schema", "seed"), pool, keys, most)
-        parsed = parsed.join(wrong, keys, "left")
-        right = args_json(F.transform_values(as_map(F.col("args")), lambda k, v: display(v)))
-        ask_values = values_question(right, F.coalesce("wrong", none), F.col("seed"))
-    if prefer_values:
-        questions = F.concat(F.coalesce(ask_tool, F.lit("")), F.coalesce(ask_values, ask_params, F.lit("")))
-    else:
-        questions = F.concat(*[F.coalesce(q, F.lit("")) for q in (ask_tool, ask_params, ask_values)])
-    asked = parsed.select(key, "call_no", questions.alias("q")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("call_no", "q"))).alias("asked"))
-    gaps, spans = F.split(t, CALL, -1), F.regexp_extract_all(t, F.lit(CALL), F.lit(0))
-    with_q = F.transform(spans, lambda s, i: F.concat(F.coalesce(F.element_at("asked", i), F.lit("")), s))
-    pieces = F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(with_q, i), F.lit(""))))
-    out = docs.join(asked, key, "left").withColumn(text, F.when(F.col("asked").isNull(), t).otherwise(F.array_join(pieces, "")))
-    return out.select(*docs.columns)
+        own = ["__key", "__text"]
+        keyed = docs.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("__text", F.xxhash64(text))
+        cut = calls_of(keyed.select(*own, F.col(key).alias("__of"), t.alias("__t")))
+        asked = value_negatives(cut.where("args is not null").select(*own, "call_no", "name", "args", "schema", "seed"), pool, [*own, "call_no"], most)
+        # one list for each text: what is wrong for its first call, its second, ...
+        each = cut.select(*own, "call_no").join(asked, [*own, "call_no"], "left")
+        each = each.groupBy(*own).agg(F.transform(F.array_sort(F.collect_set(F.struct("call_no", "wrong"))), lambda e: e["wrong"]).alias("__wrong"))
+        rows, wrong = keyed.join(each, own, "left"), F.coalesce("__wrong", F.array().cast("array<array<string>>"))
+    pieces = F.named_struct(F.lit("gaps"), F.split(t, CALL, -1), F.lit("spans"), F.regexp_extract_all(t, F.lit(CALL), F.lit(0)), F.lit("asked"), _questions(t, F.col(key), wrong, prefer_values))
+
+    def whole(p: Column) -> Column:
+        after = F.slice(p["gaps"], F.lit(2), F.size(p["spans"]))
+        both = lambda x, y: F.concat(x, y)
+        calls = F.zip_with(F.zip_with(p["asked"], p["spans"], both), after, both)
+        return F.concat(p["gaps"][0], F.array_join(calls, ""))
+
+    return rows.select(*[F.when(F.contains(t, F.lit(CALL_CLOSE)), let(pieces, whole)).otherwise(t).alias(c) if c == text else F.col(c) for c in docs.columns])
+
+
+def calls_of(rows: DataFrame) -> DataFrame:
+    """rows (with __of, a key, and __t, a text) with call_no, name, args, schema and seed of each call of the text; args null if it has none."""
+    info = F.transform(tool_specs(F.col("__t")), lambda s: F.named_struct(F.lit("name"), tool_name(s), F.lit("schema"), param_schema(s)))
+    cut = rows.select("*", info.alias("info"), F.posexplode(call_payloads(F.col("__t"))).alias("call_no", "payload")).drop("__t")
+    seen = let(parse_call(F.col("payload")), lambda c: F.named_struct(F.lit("name"), F.coalesce(as_string(member(c, "name")), F.lit("")), F.lit("args"), call_args(c)))
+    cut = cut.withColumn("call", seen)
+    own = F.filter("info", lambda s: s["name"] == F.col("call.name"))
+    seed = F.concat(F.col("__of").cast("string"), F.lit("|"), F.col("call_no").cast("string"))
+    return cut.select(*[c for c in rows.columns if c not in ("__of", "__t")], "call_no", "call.name", "call.args", F.when(F.size(own) > 0, F.element_at(own, -1)["schema"]).alias("schema"), seed.alias("seed"))
 
 
 def augment_every(docs: DataFrame, n: int, position: Column, key: str = "uuid", text: str = "text", pool: DataFrame | None = None, most: int = MAX_NEGATIVES) -> DataFrame:

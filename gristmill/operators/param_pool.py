@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions.tools import call_args, call_payloads, cluster_label, param_schema, parse_call, tool_name, tool_specs, value_type
-from ..functions.variant import as_map, as_string, canonical, member
+from ..functions.variant import as_map, as_string, canonical, display, member
 
 LEVELS = ("function", "param", "type")
 SCHEMA = "level string, func string, param string, p_type string, observed long, cluster string, count long, values array<string>"
@@ -114,6 +114,12 @@ def from_json(spark: SparkSession, text: str | None) -> DataFrame:
 
 
 def alternatives(pool: DataFrame) -> DataFrame:
-    """The pool with one list of values for each entry: what J3 looks up."""
+    """The pool with one list of values, as display JSON, for each entry: what J3 looks up.
+
+    Lists are in the order of the values' SHA-1, so that neighbours in them are unrelated.
+    """
     entry = ["level", "func", "param", F.when(F.col("level") == "type", F.col("p_type")).alias("t")]
-    return pool.groupBy(*entry).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))).alias("choices"))
+    values = pool.groupBy(*entry).agg(F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"))
+    shown = F.filter(F.transform("values", lambda x: display(F.try_parse_json(x))), lambda x: x.isNotNull())
+    keyed = F.array_sort(F.transform(F.array_distinct(shown), lambda x: F.struct(F.sha1(x.cast("binary")).alias("h"), x.alias("x"))))
+    return values.select("level", "func", "param", "t", F.transform(keyed, lambda e: e["x"]).alias("choices"))

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from .functions.text import ensure_text, est_tokens, stable_u
 from .functions.tools import call_args, call_names, call_payloads, cluster_label, parse_call, string_class, value_type
+from .functions import tools
 from .functions.variant import member
 from .operators import adapters, filters, mcq, param_pool, pretty, sampling
+from .plans import pipeline
 from .sources import sinks
-from .sources.readers import read_jsonl
+from .sources.readers import read, read_json_array, read_jsonl
 from .sources.readers import parsed as parsed_lines
 
 QUERIES = {}
@@ -402,9 +404,38 @@ def q29_mcq_tool(spark, sf_dir):
     return out.select("uuid", F.sha1(F.col("text").cast("binary")).alias("text_sha1"))
 
 
-@query()
+def _asked(tag: str, instruction: str, options: str, answer: str) -> str:
+    """SQL for a question with lettered options."""
+    return f"""'<|{tag}|>' || chr(10) || 'Instruction: ' || {instruction} || chr(10) || 'Options:' || chr(10)
+        || array_to_string(list_transform(generate_series(1, len({options})), lambda i: '  ' || ['A', 'B', 'C', 'D'][i] || ') ' || {options}[i]), chr(10)) || chr(10)
+        || 'Answer: ' || ['A', 'B', 'C', 'D'][list_position({options}, {answer})] || chr(10) || '</|{tag}|>'"""
+
+
+CALLS = f"""
+f AS (SELECT user_id, event_type, min(event_id) AS e FROM events GROUP BY user_id, event_type),
+n AS (SELECT user_id, list(event_type ORDER BY e) AS names FROM f GROUP BY user_id),
+c AS (SELECT user_id, event_id, event_type AS name, names, props->>'$.k' AS k, user_id || '|' || (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) AS seed,
+             '<|tool_call|>' || chr(10) || '{{"name": "' || event_type || '", "arguments": ' || props || '}}' || chr(10) || '</|tool_call|>' AS call FROM events JOIN n USING (user_id)),
+d AS (SELECT *, {_shuffled("list_filter(names, lambda n: n <> name)", "seed || '|d'")} AS others FROM c),
+o AS (SELECT *, {_shuffled("list_concat([name], others[1:3])", "seed || '|o'")} AS o FROM d),
+q AS (SELECT *, CASE WHEN len(names) < 2 THEN '' ELSE {_asked('mcq_tool', "'Choose the next tool to call based on the dialogue context.'", 'o', 'name')} END AS q FROM o)"""
+
+
+@query(f"""
+WITH {CALLS},
+pv AS (SELECT event_type AS func, (props->>'$.k')::BIGINT AS v, user_id::VARCHAR AS uuid, event_id FROM events),
+pf AS (SELECT func, {INT_CLUSTER} AS cluster, v, min(struct_pack(uuid := uuid, e := event_id)) AS first FROM pv GROUP BY func, cluster, v),
+pr AS (SELECT *, row_number() OVER (PARTITION BY func, cluster ORDER BY first) AS nth FROM pf),
+p AS (SELECT func, list(v::VARCHAR ORDER BY sha1(v::VARCHAR)) AS choices FROM pr WHERE nth <= 120 GROUP BY func),
+s AS (SELECT q.*, choices, ('0x' || substr(sha1(seed || '|k'), 1, 8))::BIGINT % len(choices) AS start FROM q JOIN p ON func = name),
+w AS (SELECT *, '{{"k": ' || k || '}}' AS answer, list_transform(list_filter(list_concat(choices, choices)[start + 1:start + 4], lambda x: x <> k)[1:3], lambda v: '{{"k": ' || v || '}}') AS few FROM s),
+x AS (SELECT *, ({_shuffled('few', "seed || '|n'")})[1:3] AS wrong FROM w),
+y AS (SELECT *, {_shuffled('list_concat(wrong, [answer])', "seed || '|v'")} AS v FROM x),
+z AS (SELECT *, q || CASE WHEN len(wrong) = 0 THEN '' ELSE {_asked('mcq_param_values', "'Choose the correct argument object for the tool call.'", 'v', 'answer')} END AS qs FROM y)
+SELECT user_id::VARCHAR AS uuid, sha1(string_agg(qs || call, chr(10) || chr(10) ORDER BY event_id)) AS text_sha1,
+       sha1(string_agg(call, chr(10) || chr(10) ORDER BY event_id)) AS before_sha1 FROM z GROUP BY user_id""")
 def q30_mcq_values(spark, sf_dir):
-    texts = call_texts(spark, sf_dir).persist()
+    texts = call_texts(spark, sf_dir)
     out = mcq.augment(texts, pool=param_pool.pool_from_texts(texts), prefer_values=True)
     return out.select("uuid", F.sha1(F.col("text").cast("binary")).alias("text_sha1"), F.sha1(mcq.without_questions(F.col("text")).cast("binary")).alias("before_sha1"))
 
@@ -431,17 +462,26 @@ def q32_pretty(spark, sf_dir):
 # --- files ---------------------------------------------------------------------------------------------------------
 
 
-@query()
+@query("""SELECT 3::BIGINT AS files, sum(strlen('{"doc_id":' || doc_id || ',"source":"' || source || '"}') + 1)::BIGINT AS bytes FROM documents""")
 def q33_file_stats(spark, sf_dir):
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/documents.parquet").select("path", "length")
-    return files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    path = scratch(spark)
+    sinks.write_jsonl(table(spark, sf_dir, "documents").select("doc_id", "source"), path, 3)
+    return sinks.file_sizes(spark, path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-@query()
+@query("""
+WITH RECURSIVE s AS (SELECT source, sum(strlen(doc_id::VARCHAR) + 1)::BIGINT AS n, row_number() OVER (ORDER BY sum(strlen(doc_id::VARCHAR) + 1) DESC, source) AS i FROM documents GROUP BY source),
+r AS (SELECT 0::BIGINT AS i, [0, 0, 0, 0]::BIGINT[] AS held, ''::VARCHAR AS source, 0::BIGINT AS n, 0::INT AS bin
+      UNION ALL SELECT s.i, list_transform(held, lambda x, k: x + CASE WHEN k = list_position(held, list_min(held)) THEN s.n ELSE 0 END), s.source, s.n, (list_position(held, list_min(held)) - 1)::INT
+      FROM r JOIN s ON s.i = r.i + 1)
+SELECT source, n, bin FROM r WHERE i > 0""")
 def q34_lpt_merge(spark, sf_dir):
-    sizes = {r["source"]: r["n"] for r in table(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("n")).collect()}
-    bins = sinks.lpt_bins(sizes, 4)
-    return spark.createDataFrame([(s, sizes[s], bins[s]) for s in sorted(sizes)], "source string, n long, bin int")
+    """One file for each source, merged into four by size; the bins are read back from where the lines went."""
+    docs, path = table(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("value")), scratch(spark)
+    docs.repartition("source").write.partitionBy("source").text(f"{path}/in")
+    sinks.merge_files(spark, f"{path}/in", f"{path}/out", 4)
+    lines = spark.read.text(f"{path}/out").select("value", F.col("merged").alias("bin"))
+    return lines.join(docs, "value").groupBy("source", "bin").agg(F.sum(F.length("value") + 1).alias("n"))
 
 
 @query("SELECT doc_id, lang, source, n_chars, sha1(text) AS text_sha1 FROM documents")
@@ -477,3 +517,166 @@ def q37_line_status(spark, sf_dir):
 def q38_rolled_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length("text") + 1).alias("size"))
     return sinks.with_shard(docs, F.col("size"), 100_000, [F.col("doc_id")]).select("doc_id", "shard")
+
+
+# --- readers and lists of ids, through files -------------------------------------------------------------------------
+
+
+@query("""
+SELECT doc_id // 100 AS file, (row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1) AS pos, CASE WHEN doc_id % 7 = 3 THEN NULL ELSE doc_id END AS doc_id,
+       CASE WHEN doc_id % 7 = 3 THEN source || doc_id END AS value FROM documents WHERE doc_id % 100 < 90 OR doc_id // 100 <> 2""")
+def q39_json_array(spark, sf_dir):
+    """Top-level arrays with odd spacing, one a file; what isn't an object is wrapped, a truncated file keeps its whole items."""
+    docs, path = table(spark, sf_dir, "documents"), scratch(spark)
+    item = F.when(F.col("doc_id") % 7 == 3, F.to_json(F.array(F.concat("source", "doc_id")))).otherwise(F.concat(F.lit("["), F.to_json(F.struct("doc_id")), F.lit("]")))
+    listed = docs.groupBy(F.floor(F.col("doc_id") / 100).alias("file")).agg(F.array_sort(F.collect_list(F.struct("doc_id", F.regexp_replace(item, r"^\[|\]$", "").alias("x")))).alias("xs"))
+    # file 2 ends inside its item of doc_id 290
+    items = F.transform("xs", lambda e: e["x"])
+    whole = F.concat(F.lit(" [ "), F.array_join(items, " ,\r "), F.lit(" ] rest"))
+    cut = F.concat(F.lit("["), F.array_join(F.transform(F.filter("xs", lambda e: e["doc_id"] % 100 < 90), lambda e: e["x"]), ","), F.lit(', {"doc_id": 2'))
+    listed.select("file", F.when(F.col("file") == 2, cut).otherwise(whole).alias("value")).repartition("file").write.partitionBy("file").text(path)
+    files = [r["path"] for r in sinks.file_sizes(spark, path).collect()]
+    raw = read_json_array(spark, files)
+    get = lambda k, t: F.try_variant_get("raw", f"$.{k}", t).alias(k)
+    return raw.select(F.regexp_extract("file", r"file=(\d+)", 1).cast("long").alias("file"), "pos", get("doc_id", "long"), get("value", "string"))
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, lang, source, n_chars::VARCHAR AS n_chars FROM documents")
+def q40_csv(spark, sf_dir):
+    """A header's names, values as strings."""
+    path = scratch(spark)
+    table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars").write.option("header", True).csv(path)
+    raw = read(spark, "csv", [path])
+    return raw.select(*[F.try_variant_get("raw", f"$.{k}", "string").alias(k) for k in ("doc_id", "lang", "source", "n_chars")])
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority, (row_number() OVER (ORDER BY o_orderkey) - 1) AS pos FROM orders WHERE o_orderkey <= 3000")
+def q41_parquet(spark, sf_dir):
+    """Rows as objects, positions in the file."""
+    path = scratch(spark)
+    rows = table(spark, sf_dir, "orders").where("o_orderkey <= 3000").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    rows.repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    raw = read(spark, "parquet", [path])
+    get = lambda k, t: F.try_variant_get("raw", f"$.{k}", t).alias(k)
+    return raw.select(get("o_orderkey", "long"), get("o_totalprice", "double"), get("o_orderpriority", "string"), "pos")
+
+
+@query("""
+SELECT DISTINCT id FROM (SELECT 'u' || user_id AS id FROM events UNION ALL SELECT 'd"' || doc_id FROM labels UNION ALL SELECT '{' || item_id || '}' FROM benchmark UNION ALL SELECT 'n' || page_id FROM pages)""")
+def q42_blacklist_files(spark, sf_dir):
+    """JSON lines, gzipped ones, plain lists and bare lines, in folders of folders."""
+    path = scratch(spark)
+    put = lambda name, rows, **how: rows.write.options(**how).text(f"{path}/{name}")
+    line = lambda t, c: table(spark, sf_dir, t).select(c.alias("value"))
+    put("a/plain", line("benchmark", F.concat(F.lit(" {"), "item_id", F.lit("} "))))  # *.txt: whole lines, whatever they hold
+    put("b/c/zipped", line("pages", F.concat(F.lit("n"), "page_id")), compression="gzip")
+    named = line("events", F.concat(F.lit('{"text": "x", "uuid": "", "id": "u'), "user_id", F.lit('"}'))).union(line("labels", F.concat(F.lit('{"doc_id": "d\\"'), "doc_id", F.lit('"}'))))
+    put("jsonl", named.coalesce(2))
+    listed = filters.load_blacklist(spark, f"{path}/a").union(filters.load_blacklist(spark, f"{path}/b"))
+    lines = spark.read.text(f"{path}/jsonl").select(filters.line_id(F.col("value"), compat=True).alias("id"))
+    return listed.union(lines).where("id is not null").distinct()
+
+
+# --- tool specifications ---------------------------------------------------------------------------------------------
+
+
+def _tool_texts(spark, sf_dir):
+    """p_partkey and text: a list of two tools for each part, one of them named at its top level, and a call of the first."""
+    part = table(spark, sf_dir, "part")
+    size = F.col("p_size").cast("string")
+    one = F.concat(F.lit('{"type": "function", "function": {"name": "make_'), size, F.lit('", "description": "  Make '), "p_brand", F.lit('. ", "parameters": {"type": "object", "required": ["brand", "size", '), size, F.lit(', null, true], "properties": {"brand": {"type": "string"}, "size": {"type": "integer"}}}}}'))
+    two = F.concat(F.lit('{"name": "sell", "description": " '), "p_type", F.lit(' "}'))
+    by_line = F.concat(one, F.lit("\n\nno json\n  "), two)
+    listed = F.concat(F.lit("["), one, F.lit(", 7, "), two, F.lit("]"))
+    tools = F.when(F.col("p_partkey") % 2 == 0, by_line).otherwise(listed)
+    call = F.concat(F.lit("<|tool_call|>{'name': 'make_"), size, F.lit("', 'arguments': {'brand': 'x', 'size': 3}}</|tool_call|>"))
+    return part.select(F.col("p_partkey").cast("string").alias("uuid"), F.concat(F.lit("<tools>\n"), tools, F.lit("\n</tools>\nsay "), call, F.lit(" end <|tool_call|>{'name': open")).alias("text"))
+
+
+@query("""
+SELECT p_partkey::VARCHAR AS uuid, 'make_' || p_size || ',sell' AS names, 'brand|size|' || p_size || '|true' AS required, 'brand,size' AS props,
+       'Make ' || p_brand || '.; ' || p_type || ' ' AS described FROM part""")
+def q43_tool_specs(spark, sf_dir):
+    """X1, X3 to X6."""
+    specs = _tool_texts(spark, sf_dir).select("uuid", tools.tool_specs(F.col("text")).alias("t"))
+    each = lambda f: F.transform("t", f)
+    props = F.array_sort(F.map_keys(tools.param_schema(F.col("t")[0])))
+    return specs.select("uuid", F.array_join(each(tools.tool_name), ",").alias("names"), F.array_join(tools.required_params(F.col("t")[0]), "|").alias("required"), F.array_join(props, ",").alias("props"), F.array_join(each(tools.tool_description), ";").alias("described"))
+
+
+TOOL_QUESTIONS = f"""
+p AS (SELECT p_partkey::VARCHAR AS uuid, p_partkey || '|0' AS seed, 'make_' || p_size AS name, ['brand', 'size', p_size::VARCHAR, 'true'] AS req FROM part),
+o AS (SELECT *, {_shuffled("list_concat([name], ['sell'])", "seed || '|o'")} AS o, array_to_string(req, ', ') AS answer FROM p),
+k AS (SELECT *, list_transform({_shuffled("['0:' || answer, '1:' || array_to_string(req[1:3], ', '), '2:' || answer || ', extra', '3:(none)']", "seed || '|p'")}, lambda s: s[3:]) AS r FROM o),
+q AS (SELECT *, {_asked('mcq_tool', "'Choose the next tool to call based on the dialogue context.'", 'o', 'name')} AS q1,
+             {_asked('mcq_params', "'Choose the required parameters for the tool call (Required: ' || answer || ').'", 'r', 'answer')} AS q2 FROM k)"""
+
+
+@query(f"WITH {TOOL_QUESTIONS} SELECT uuid, sha1(q1 || q2) AS asked_sha1, true AS same FROM q")
+def q44_record_questions(spark, sf_dir):
+    """M1, X17, X18 in a record: both questions come before its call; an open call stays as it is."""
+    texts = _tool_texts(spark, sf_dir)
+    out = mcq.augment(texts).withColumnRenamed("text", "done").join(texts, "uuid")
+    asked = F.regexp_extract("done", r"(?s)say (<\|mcq_tool.*</\|mcq_params\|>)<\|tool_call", 1)
+    return out.select("uuid", F.sha1(asked.cast("binary")).alias("asked_sha1"), (mcq.without_questions(F.col("done")) == F.col("text")).alias("same"))
+
+
+@query(f"""
+WITH {CALLS}, t AS (SELECT user_id, row_number() OVER (ORDER BY user_id::VARCHAR) - 1 AS nth FROM n)
+SELECT user_id::VARCHAR AS uuid, sha1(string_agg(CASE WHEN nth % 3 = 0 THEN q ELSE '' END || call, chr(10) || chr(10) ORDER BY event_id)) AS text_sha1 FROM q JOIN t USING (user_id) GROUP BY user_id""")
+def q45_augment_every(spark, sf_dir):
+    """M4, M7: a chain of one step that asks in every third record, in the order of ids."""
+    done, _ = pipeline.postprocess(call_texts(spark, sf_dir), [{"kind": "tool_mcq", "mcq_every_n": 3}])
+    return done.select("uuid", F.sha1(F.col("text").cast("binary")).alias("text_sha1"))
+
+
+@query(f"""
+WITH v AS (SELECT event_type AS func, (props->>'$.k')::BIGINT AS v FROM events), c AS (SELECT *, {INT_CLUSTER} AS cluster FROM v)
+SELECT CASE grouping(func) + grouping(p) WHEN 0 THEN 'function' WHEN 1 THEN 'param' ELSE 'type' END AS level, func, p AS param, cluster, count(*) AS "count", least(120, count(DISTINCT v)) AS kept
+FROM (SELECT *, 'k' AS p, 'integer' AS t FROM c) GROUP BY GROUPING SETS ((func, p, cluster), (p, cluster), (t, cluster))""")
+def q46_pool_as_json(spark, sf_dir):
+    """The pool as nested JSON, and read from it again."""
+    pool = param_pool.from_json(spark, param_pool.to_json(param_pool.pool_from_texts(call_texts(spark, sf_dir))))
+    return pool.select("level", "func", "param", "cluster", "count", F.size("values").cast("long").alias("kept"))
+
+
+# --- toucan, and records for people ------------------------------------------------------------------------------------
+
+
+@query("""
+WITH m AS (SELECT conv_id, turn, CASE role
+    WHEN 'user' THEN CASE trim(text) WHEN '' THEN '' ELSE '<|user|>' || chr(10) || trim(text) || chr(10) || chr(10) END || '<|tool_call|>' || chr(10) || '{"k": ' || turn || ', "name": "f"}' || chr(10) || '</|tool_call|>'
+    WHEN 'assistant' THEN CASE trim(text) WHEN '' THEN NULL ELSE '<|tool_output|>' || chr(10) || trim(text) END
+    ELSE CASE trim(text) WHEN '' THEN '<|tool_call|>' || chr(10) || 'call ' || turn || chr(10) || '</|tool_call|>'
+         ELSE '<|function|>' || chr(10) || trim(text) || chr(10) || chr(10) || '<|tool_output|>' || chr(10) || trim(text) END END AS x FROM conversations)
+SELECT 'toucan/' || conv_id AS uuid, sha1(trim(string_agg(x, chr(10) || chr(10) ORDER BY turn), chr(10))) AS text_sha1 FROM m WHERE x IS NOT NULL GROUP BY conv_id""")
+def q47_toucan(spark, sf_dir):
+    """A1, A3: calls after their text, a tool's output in place of its message's last block."""
+    user, assistant = F.col("role") == "user", F.col("role") == "assistant"
+    role = F.when(user, "user").when(assistant, "tool").otherwise("function")
+    call = F.when(user, F.concat(F.lit('{"name": "f", "k": '), "turn", F.lit("}"))).when(~assistant, F.concat(F.lit('"call '), "turn", F.lit('"'))).otherwise("null")
+    message = F.concat(F.lit('{"role": '), F.to_json(F.array(role)), F.lit(', "content": '), F.to_json(F.array("text")), F.lit(', "function_call": '), call, F.lit("}"))
+    plain = F.regexp_replace(F.regexp_replace(message, r'"role": \[("[a-z]*")\]', r'"role": $1'), r'"content": \[(.*)\], "function_call"', r'"content": $1, "function_call"')
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", plain.alias("m")))).alias("ms"))
+    rows = as_records(rows, "toucan", "conv_id", messages=F.concat(F.lit("["), F.array_join(F.transform("ms", lambda x: x["m"]), ", "), F.lit("]")))
+    out = adapters.prepare(adapters.adapt(rows, "toucan", "toucan"))
+    return out.select("uuid", F.sha1(F.col("text").cast("binary")).alias("text_sha1"))
+
+
+@query("""
+SELECT user_id::VARCHAR AS uuid, sha1(string_agg('[tool_call]' || chr(10) || '  {' || chr(10) || '    "name": "' || event_type || '",' || chr(10) || '    "arguments": {' || chr(10)
+  || '      "k": ' || (props->>'$.k') || chr(10) || '    }' || chr(10) || '  }', chr(10) ORDER BY event_id)) AS pretty_sha1 FROM events GROUP BY user_id""")
+def q48_pretty_calls(spark, sf_dir):
+    """The JSON of calls with an indent of two."""
+    return pretty.pretty_blocks(call_texts(spark, sf_dir), "uuid").select("uuid", F.sha1(F.col("pretty").cast("binary")).alias("pretty_sha1"))
+
+
+@query("""
+SELECT p_partkey::VARCHAR AS uuid, '=== Record ' || p_size || ' | id=' || p_partkey || ' ===' || chr(10) || 'Available tools:' || chr(10)
+  || '  - make_' || p_size || chr(10) || '    Make ' || p_brand || '.' || chr(10) || '    required: brand, size, ' || p_size || ', true' || chr(10)
+  || '  - sell' || chr(10) || '     ' || p_type || ' ' || chr(10) || 'Messages:' AS head FROM part""")
+def q49_pretty_records(spark, sf_dir):
+    """A header, the tools that the text lists, its messages."""
+    texts = _tool_texts(spark, sf_dir)
+    size = F.regexp_extract("text", r"make_(\d+)", 1)
+    return pretty.pretty_records(texts, number=size).select("uuid", F.regexp_extract("record", r"(?s)^(.*?\nMessages:)", 1).alias("head"))

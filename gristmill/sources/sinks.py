@@ -31,11 +31,15 @@ def with_shard(df: DataFrame, size: Column, target: int, order: list[Column]) ->
 
 
 def write_rolled(df: DataFrame, path: str, target: int, order: list[Column]) -> None:
-    """K2: JSON lines in one folder for each shard of about target bytes."""
-    lines = as_json_lines(df).withColumn("__key", F.monotonically_increasing_id())
-    del order
-    shards = with_shard(lines, F.octet_length("value") + 1, target, [F.col("__key")])
-    shards.select("value", "shard").repartition("shard").write.mode("overwrite").partitionBy("shard").text(path)
+    """K2: JSON lines in one folder for each shard of about target bytes, rows in order."""
+    rows = df.select(*order_columns(order), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+    keys = [F.col(c) for c in rows.columns if c != "value"]
+    shards = with_shard(rows, F.octet_length("value") + 1, target, keys)
+    shards.repartition("shard").sortWithinPartitions("shard", *keys).select("value", "shard").write.mode("overwrite").partitionBy("shard").text(path)
+
+
+def order_columns(order: list[Column]) -> list[Column]:
+    return [c.alias(f"__order{i}") for i, c in enumerate(order)]
 
 
 def lpt_bins(sizes: dict[str, int], n: int) -> dict[str, int]:
@@ -49,9 +53,20 @@ def lpt_bins(sizes: dict[str, int], n: int) -> dict[str, int]:
     return bins
 
 
+def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length) of all files below a folder; their contents aren't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+
+
 def merge_files(spark: SparkSession, source: str, target: str, n: int) -> None:
-    """K5: the lines of all files below source in n files below target; source stays."""
-    spark.read.text(source).coalesce(max(1, n)).write.mode("overwrite").text(target)
+    """The lines of all files below source in n files of about equal size, target/merged=<bin>; source stays.
+
+    Whole files go to bins by size. Only their names and sizes reach the driver.
+    """
+    sizes = {r["path"]: r["length"] for r in file_sizes(spark, source).collect()}
+    bins = spark.createDataFrame(list(lpt_bins(sizes, max(1, n)).items()), "__file string, merged int")
+    lines = spark.read.option("recursiveFileLookup", "true").text(source).select("value", F.col("_metadata.file_path").alias("__file"))
+    lines.join(bins, "__file").select("value", "merged").repartition("merged").write.mode("overwrite").partitionBy("merged").text(target)
 
 
 def write_split(df: DataFrame, path: str, column: str = "bucket") -> None:

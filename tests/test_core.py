@@ -405,6 +405,23 @@ def test_blocks_and_pretty_texts(spark):
 # --- sinks and the run -------------------------------------------------------------------------------------------------
 
 
+def test_questions_of_repeated_ids(spark):
+    call = "<|tool_call|>{'name': '%s', 'arguments': {'x': %d}}</|tool_call|>"
+    docs = spark.createDataFrame([("u", call % ("a", 1) + call % ("b", 2)), ("u", call % ("c", 3) + call % ("d", 4)), ("u", call % ("c", 3) + call % ("d", 4)), (None, call % ("a", 1))], "uuid string, text string")
+    for pool in (None, param_pool.pool_from_texts(docs)):
+        out = mcq.augment(docs, pool=pool)
+        assert sorted(mcq_free(r["text"]) for r in out.collect()) == sorted(r["text"] for r in docs.collect())
+        assert len({r["text"] for r in out.collect()}) == 3
+        for r in out.where("uuid = 'u'").collect():
+            assert ("B) " in r["text"]) and all((f") {n}\n" in r["text"]) == (f"'{n}'" in r["text"]) for n in "abcd")
+
+
+def mcq_free(text):
+    import re
+
+    return re.sub(r"(?s)<\|(mcq_\w+)\|>.*?</\|\1\|>", "", text)
+
+
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([(i, "é" * (i % 7)) for i in range(50)], "i long, t string")
     sinks.write_jsonl(docs, str(tmp_path / "a"), files=3)
@@ -413,7 +430,14 @@ def test_sinks(spark, tmp_path):
     sinks.write_rolled(docs, str(tmp_path / "r"), 200, [F.col("i")])
     assert len(list((tmp_path / "r").glob("shard=*"))) > 3
     sinks.merge_files(spark, str(tmp_path / "a"), str(tmp_path / "m"), 1)
-    assert len(list((tmp_path / "m").glob("part-*"))) == 1
+    assert len(list((tmp_path / "m").glob("merged=0/part-*"))) == 1
+    sinks.merge_files(spark, str(tmp_path / "a"), str(tmp_path / "m"), 2)
+    assert sorted(p.name for p in (tmp_path / "m").glob("merged=*")) == ["merged=0", "merged=1"]
+    merged = [x for p in (tmp_path / "m").glob("merged=*/part-*") for x in p.read_text().splitlines()]
+    assert sorted(json.loads(x)["i"] for x in merged) == list(range(50))
+    sinks.write_rolled(docs, str(tmp_path / "q"), 200, [-F.col("i")])
+    rolled = [[json.loads(x)["i"] for x in p.read_text().splitlines()] for k in range(4) for p in (tmp_path / "q").glob(f"shard={k}/part-*")]
+    assert [i for x in rolled for i in x] == list(range(49, 49 - sum(map(len, rolled)), -1))
     assert sinks.lpt_bins({"a": 5, "b": 4, "c": 3, "d": 3}, 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
     sinks.write_split(docs.withColumn("bucket", F.when(F.col("i") < 5, "x").otherwise("y")), str(tmp_path / "s"))
     assert {p.name for p in (tmp_path / "s").glob("bucket=*")} == {"bucket=x", "bucket=y"}
