@@ -73,7 +73,7 @@ def _packed(file_bytes: int):
         archive = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join([*members, gzip.compress(b"", mtime=0)])[:-1]], pa.binary())], ["archive"])
         for part in parts:
             for head, block in zip(part.column(0), part.column(1), strict=True):
-                members.append(gzip.compress(head.as_py().encode() + block.as_py().encode() + b"\r\n\r\n", mtime=0))
+                members.append(gzip.compress(head.as_py().encode() + block.as_py().encode() + b"\r\n\r\n", 6, mtime=0))
                 size += len(members[-1])
                 if size >= file_bytes:
                     yield archive()

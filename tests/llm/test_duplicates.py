@@ -333,7 +333,7 @@ def test_repeats_are_those_of_brute_force(spark, monkeypatch, side, heads):
     r = random.Random(31)
     shared, line = [prose(r, n).split() for n in (55, 70, 130)], prose(r, 30)
     rows = []
-    for i in range(36):
+    for i in range(24):
         w = list(shared[i % 3])
         for _ in range(i % 5):  # from none to four words changed, left out or put in
             k = r.randrange(len(w))
@@ -347,7 +347,7 @@ def test_repeats_are_those_of_brute_force(spark, monkeypatch, side, heads):
     surplus, missed = sum(len(got[i] - want[i]) for i in got), sum(len(want[i] - got[i]) for i in want)
     total = sum(map(len, want.values()))
     print("words repeated", total, "missed", missed, "surplus", surplus)
-    assert total > 1500 and surplus == 0 and missed <= 0.03 * total
+    assert total > 1000 and surplus == 0 and missed <= 0.03 * total
 
 
 def test_scattered_shingles_are_no_passage():
