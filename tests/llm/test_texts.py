@@ -406,6 +406,6 @@ def test_pipeline_stages(spark, model):
         docs = stage(spark, docs, DATA).persist()
         seen.append((docs.count(), docs.columns))
     own = spark.read.parquet(f"{DATA}/documents.parquet").columns
-    assert all(c == own for _, c in seen[:4]) and seen[4][1] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert all(c == own for _, c in seen[:4]) and seen[4][1] == ["doc_id", "n_tokens", "ids_sha256", "spans_sha256", "decoded_sha256"]
     assert 1000 > seen[0][0] == seen[1][0] > seen[2][0] and seen[3][0] == seen[4][0]
     assert docs.select("doc_id").distinct().count() <= seen[2][0]
