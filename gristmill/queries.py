@@ -39,9 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder in the shared one of the cluster, or a temporary one where none is set."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{conf.rstrip('/')}/q-{uuid.uuid4().hex}" if conf else f"{tempfile.mkdtemp(prefix='gristmill-')}/q"
+    """A fresh folder in the one that a cluster shares; a temporary one only for a local session without it."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        return f"{conf.rstrip('/')}/q-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"file://{tempfile.mkdtemp(prefix='gristmill-')}/q"
 
 
 def as_records(rows: DataFrame, file: str, pos: str, **fields) -> DataFrame:
