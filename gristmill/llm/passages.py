@@ -92,29 +92,36 @@ def minima(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) -> n
     return at[new]
 
 
+def _smaller(value: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """The nearest smaller value's place on one side, from the neighbours' places on that side (-1 for none).
+
+    All between a place and its candidate are greater than it, so a candidate that is
+    greater, too, hands on its own; those still looking become few quickly.
+    """
+    value = np.append(value, np.uint64(0))  # at -1
+    looking = np.flatnonzero(value[near] > value[:-1])
+    while len(looking):
+        near[looking] = near[near[looking]]
+        looking = looking[value[near[looking]] > value[looking]]
+    return near
+
+
 def compact_windows(v: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of all compact windows of at least that width in v[start:end] of each sequence.
 
     These are the upper nodes of the sequences' Cartesian trees: a node's window is
     wide enough if and only if it is the first minimum of some run of `least`
     values, and so are then all nodes above it. The trees of those places alone are
-    grown from left to right, with the rightmost branch on a stack.
+    grown, all nodes at once: a node's window ends before the nearest smaller on each side.
     """
     at = minima(v, starts, ends, least)
-    value = ((v[at] & ~_PLACE) | at.astype(np.uint64)).tolist()
+    value = (v[at] & ~_PLACE) | at.astype(np.uint64)
     wide = ends - starts >= least
     starts, ends = starts[wide], ends[wide]
     s, e = np.searchsorted(at, starts), np.searchsorted(at, ends)
-    before, after = [-1] * len(at), [-1] * len(at)  # the nodes that end each node's window
-    for first, last in zip(s.tolist(), e.tolist(), strict=True):
-        branch = []
-        for i in range(first, last):
-            while branch and value[branch[-1]] > value[i]:
-                after[branch.pop()] = i
-            if branch:
-                before[i] = branch[-1]
-            branch.append(i)
-    before, after = np.array(before, np.int64), np.array(after, np.int64)
+    before, after = np.arange(-1, len(at) - 1), np.arange(1, len(at) + 1)
+    before[s], after[e - 1] = -1, -1
+    before, after = _smaller(value, before), _smaller(value, after)
     of = np.repeat(np.arange(len(starts)), e - s)
     return np.where(before < 0, starts[of], at[before] + 1), at, np.where(after < 0, ends[of], at[after]) - 1
 
