@@ -171,8 +171,14 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndar
 
     Of equal cells of a document only the first counts.
     """
-    order = np.lexsort((place, content, doc, key))
-    again = np.zeros(len(key), bool)
+    # most keys have one cell here; those of the others alone are ordered further
+    order = np.argsort(key)
+    new = np.ones(len(key) + 1, bool)
+    new[1:-1] = key[order][1:] != key[order][:-1]
+    alone, order = order[new[:-1] & new[1:]], order[~(new[:-1] & new[1:])]
+    single = [x[alone] for x in (key, doc, place, last, mid)]
+    order = order[np.lexsort((place[order], content[order], doc[order], key[order]))]
+    again = np.zeros(len(order), bool)
     again[1:] = (key[order][1:] == key[order][:-1]) & (doc[order][1:] == doc[order][:-1]) & (content[order][1:] == content[order][:-1])
     order = order[~again]
     key, doc, place, last, mid = (x[order] for x in (key, doc, place, last, mid))
@@ -200,13 +206,14 @@ def _combined(key: np.ndarray, doc: np.ndarray, place: np.ndarray, last: np.ndar
     held = np.where(new, np.repeat(np.add.reduceat(one, at), size) if len(at) else 0, 0)[~far]
     with np.errstate(over="ignore"):  # links and other cells are dealt out evenly
         dealt = [tokens.mix(tokens.mix(u.astype(np.uint64)) + w.astype(np.uint64)) for u, w in ((a, b), (doc[far], key[far]))]
+    key_one, doc_one, place_one, last_one, mid_one = single
     part = lambda *x: pa.array(np.concatenate(x))
     columns = [
-        part(key[~far].view(np.int64), dealt[0].view(np.int64), dealt[1].view(np.int64)),
-        pa.array(np.repeat(np.array([FIRST, LINK, REST], np.int32), [int((~far).sum()), len(a), int(far.sum())])),
-        part(doc[~far], a, doc[far]),
-        *(part(y[~far], z, y[far]).cast(pa.int32()) for y, z in ((place, lo), (last, hi), (mid, shift))),
-        part(held.astype(np.int64), b, key[far].view(np.int64)),
+        part(key_one.view(np.int64), key[~far].view(np.int64), dealt[0].view(np.int64), dealt[1].view(np.int64)),
+        pa.array(np.repeat(np.array([FIRST, LINK, REST], np.int32), [len(alone) + int((~far).sum()), len(a), int(far.sum())])),
+        part(doc_one, doc[~far], a, doc[far]),
+        *(part(x, y[~far], z, y[far]).cast(pa.int32()) for x, y, z in ((place_one, place, lo), (last_one, last, hi), (mid_one, mid, shift))),
+        part(np.ones(len(alone), np.int64), held.astype(np.int64), b, key[far].view(np.int64)),
     ]
     return pa.RecordBatch.from_arrays(columns, ["key", "kind", "doc_id", "lo", "hi", "mid", "other"])
 
