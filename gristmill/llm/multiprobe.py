@@ -8,8 +8,8 @@ visits its tables' buckets in the order of the estimated probability that a
 neighbour fell there, until it has made as many probes as the fitted target
 recall takes, and never fewer than give it k other vectors.
 
-Probes and vectors meet by bucket, large buckets in blocks of BLOCK vectors, in
-matrix products that keep the best of each block, scored again in double
+Probes and vectors meet by bucket, large buckets in blocks of BLOCK vectors and of
+as many queries as ASKING, in matrix products that keep the best of each block, scored again in double
 precision on the original vectors. The most likely bucket of each table comes
 first; its best bound what the other buckets need to send on, so that what is
 merged over tables doesn't grow with the number of probes.
@@ -36,9 +36,12 @@ from pyspark.sql import window as W
 
 from .common import cut
 
-K, TABLES, CELLS, MAX_FUNCTIONS = 20, 4, 4, 6
+#: 4 ** 10 buckets a table keep to PER_BUCKET vectors up to 2 * 10 ** 9; their sizes (32 MB) go to all tasks.
+K, TABLES, CELLS, MAX_FUNCTIONS = 20, 4, 4, 10
 #: Vectors (and as many as a fifth of them as queries) that the numbers of probes are fitted on.
 SAMPLE, TARGET, BLOCK, PER_BUCKET = 4096, 0.95, 4096, 2048
+#: Queries that meet a block of vectors at once, and probes that a query's order starts with.
+ASKING, PROBES = 16384, 64
 
 
 @dataclass
@@ -70,17 +73,39 @@ class Plan:
         c = self.cell(self.project(x))
         return (c * CELLS ** np.arange(c.shape[2])).sum(2)
 
-    def order(self, x: np.ndarray) -> np.ndarray:
-        """tables x n x buckets: buckets by falling probability that a neighbour is in them."""
+    def order(self, x: np.ndarray, most: int) -> np.ndarray:
+        """tables x n x min(most, buckets): the buckets likeliest to hold a neighbour, by falling probability."""
         p = self.project(x, True)
         edges = (np.arange(1, CELLS) - CELLS // 2) * self.width
         below = _phi((edges - p[..., None]) / self.spread)
         below = np.concatenate([np.zeros_like(below[..., :1]), below, np.ones_like(below[..., :1])], -1)
         log = np.log(np.maximum(np.diff(below, axis=-1), 1e-12))
-        total = np.zeros((*p.shape[:2], 1))
+        total, bucket = np.zeros((*p.shape[:2], 1)), np.zeros((*p.shape[:2], 1), np.int64)
         for f in range(p.shape[2]):  # bucket = sum of cell * CELLS ** f
             total = (log[:, :, f, :, None] + total[:, :, None, :]).reshape(*p.shape[:2], -1)
-        return np.argsort(-total, axis=-1, kind="stable")
+            bucket = (np.arange(CELLS)[:, None] * CELLS**f + bucket[:, :, None, :]).reshape(total.shape)
+            # what lies behind `most` better beginnings can't become one of the best
+            best = np.argsort(-total, axis=-1, kind="stable")[..., :most]
+            total, bucket = np.take_along_axis(total, best, -1), np.take_along_axis(bucket, best, -1)
+        return bucket
+
+    def visits(self, x: np.ndarray, k: int):
+        """Table, rows of x, the buckets that these visit, and the buckets' places in the rows' orders; in parts."""
+        left, most = np.arange(len(x)), max(PROBES, self.probes)
+        while len(left):
+            again = []
+            step = max(1, min(256, (1 << 16) // most))
+            for some in (left[i : i + step] for i in range(0, len(left), step)):
+                order = self.order(x[some], most)
+                seen = np.stack([np.cumsum(self.sizes[t][order[t]], 1) for t in range(TABLES)])
+                done = (seen[:, :, -1] > k).all(0) | (order.shape[2] == self.buckets)
+                again.append(some[~done])
+                for t in range(TABLES):
+                    before = np.column_stack([np.zeros(len(some), np.int64), seen[t][:, :-1]])
+                    visit = (np.arange(order.shape[2]) < self.probes) | (before <= k)
+                    row, nth = np.nonzero(visit & (self.sizes[t][order[t]] > 0) & done[:, None])
+                    yield t, some[row], order[t][row, nth], nth
+            left, most = np.concatenate(again), 4 * most
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -136,19 +161,52 @@ def fit(index: DataFrame, k: int, seed: int = 5) -> Plan | None:
     flat = plan.project(x)
     plan.b = -np.median(flat, axis=1) + r.uniform(-0.25, 0.25, (TABLES, functions)) * flat.std()
     plan.width = float(np.percentile(np.abs(flat + plan.b[:, None, :]), 50))
-    order = plan.order(q)
-    place = np.empty_like(order)
-    np.put_along_axis(place, order, np.broadcast_to(np.arange(plan.buckets), order.shape), -1)
-    bucket = plan.bucket(x)
-    # the first probe, in any table, that finds each true neighbour
-    rank = np.min([np.take_along_axis(place[t], bucket[t][near], 1) for t in range(TABLES)], axis=0)[:, 1:]
-    plan.probes = int(np.quantile(rank, TARGET, method="higher")) + 1 if rank.size else plan.buckets
+    if wanted > 1:
+        bucket, most = plan.bucket(x), PROBES
+        while True:
+            rank = _first_probes(plan, q, bucket[:, near[:, 1:]], most)
+            plan.probes = int(np.quantile(rank, TARGET, method="higher")) + 1
+            if plan.probes <= most or most >= plan.buckets:
+                break
+            most *= 4
+    else:
+        plan.probes = plan.buckets
     counted = index.select("embedding").mapInPandas(lambda parts: _counted(parts, plan), "t int, bucket int, n long").groupBy("t", "bucket").agg(F.sum("n").alias("n")).toPandas()
     plan.sizes = np.zeros((TABLES, plan.buckets), np.int64)
     plan.sizes[counted["t"], counted["bucket"]] = counted["n"]
     return plan
 
 
+def _first_probes(plan: Plan, q: np.ndarray, buckets: np.ndarray, most: int) -> np.ndarray:
+    """The first probe of q, in any table, of one of each neighbour's buckets (tables x q x neighbours); `most` for none."""
+    rank = np.full(buckets.shape[1:], most)
+    for i in range(len(q)):
+        order = plan.order(q[i : i + 1], most)[:, 0]
+        for t in range(TABLES):
+            by = np.argsort(order[t])
+            at = by[np.minimum(np.searchsorted(order[t], buckets[t, i], sorter=by), len(by) - 1)]
+            rank[i] = np.minimum(rank[i], np.where(order[t][at] == buckets[t, i], at, most))
+    return rank
+
+
+def _asked(parts, plan: Plan, k: int):
+    for part in parts:
+        if len(part):
+            for t, _, bucket, _ in plan.visits(_matrix(part["embedding"]), k):
+                v, n = np.unique(bucket, return_counts=True)
+                yield pd.DataFrame({"t": t, "bucket": v, "n": n})
+
+
+def _spread(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+
+
+def _copies(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's number as often as it has copies, and the copies' numbers."""
+    row = np.repeat(np.arange(len(times)), times)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+
+
 def _counted(parts, plan: Plan):
     for part in parts:
         if len(part):
@@ -178,35 +236,36 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     of_query = usable(vectors).where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("e"))
     own = cut(of_query.join(index.select("class_id", "embedding"), F.col("e") == F.col("embedding")).select("query_id", F.col("class_id").alias("query")), "own")
     queries = index.select("class_id", "embedding").join(own.select(F.col("query").alias("class_id")).distinct(), "class_id")
-    blocks = np.maximum(1, -(-plan.sizes // BLOCK))
+    queries = cut(queries, "queries")
+    blocks = np.maximum(1, -(-plan.sizes // BLOCK)).astype(np.int32)
+    asked = queries.select("embedding").mapInPandas(lambda parts: _asked(parts, plan, k), "t int, bucket int, n long").groupBy("t", "bucket").agg(F.sum("n").alias("n"))
+    asked = asked.where(F.col("n") > ASKING).toPandas()
+    turns = np.ones_like(blocks)
+    turns[asked["t"], asked["bucket"]] = -(-asked["n"] // ASKING)
 
     def members(parts):
         for part in parts:
             if not len(part):
                 continue
             b = plan.bucket(_matrix(part["embedding"]))
+            ids, vectors = part["class_id"].to_numpy(), part["embedding"].to_numpy()
             for t in range(TABLES):
-                block = (part["class_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[t][b[t]]
-                yield pd.DataFrame({"t": t, "bucket": b[t], "block": block, "class_id": part["class_id"], "embedding": part["embedding"]})
+                block = _spread(ids) % blocks[t][b[t]]
+                row, turn = _copies(turns[t][b[t]])
+                yield pd.DataFrame({"t": t, "bucket": b[t][row], "block": block[row], "turn": turn, "class_id": ids[row], "embedding": vectors[row]})
 
     def probes(parts, late: bool):
         """A query's most likely bucket of each table, or (late) all others that it visits."""
         for part in parts:
-            for lo in range(0, len(part), 256):
-                some = part.iloc[lo : lo + 256]
-                order = plan.order(_matrix(some["embedding"]))
-                for t in range(TABLES):
-                    seen = np.cumsum(plan.sizes[t][order[t]], 1)
-                    before = np.column_stack([np.zeros(len(some), np.int64), seen[:, :-1]])
-                    visit = (np.arange(order.shape[2]) < plan.probes) | (before <= k)
-                    visit &= plan.sizes[t][order[t]] > 0
-                    visit &= (np.arange(order.shape[2]) > 0) == late
-                    row, nth = np.nonzero(visit)
-                    bucket = order[t][row, nth]
-                    times = blocks[t][bucket]
-                    row, bucket = np.repeat(row, times), np.repeat(bucket, times)
-                    block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    yield pd.DataFrame({"t": t, "bucket": bucket, "block": block, "class_id": some["class_id"].to_numpy()[row], "embedding": some["embedding"].to_numpy()[row], "bound": some["bound"].to_numpy()[row]})
+            if not len(part):
+                continue
+            ids, vectors, bound = (part[c].to_numpy() for c in ("class_id", "embedding", "bound"))
+            for t, of, bucket, nth in plan.visits(_matrix(part["embedding"]), k):
+                now = (nth > 0) == late
+                row, block = _copies(blocks[t][bucket[now]])
+                of, bucket = of[now][row], bucket[now][row]
+                turn = _spread(ids[of]) % turns[t][bucket]
+                yield pd.DataFrame({"t": t, "bucket": bucket, "block": block, "turn": turn, "class_id": ids[of], "embedding": vectors[of], "bound": bound[of]})
 
     def met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -220,8 +279,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
             out.append(pd.DataFrame({"query": of[i], "class_id": ids[j], "score": (q[i] * x[j]).sum(1)}))
         return pd.concat(out)
 
-    schema = f"t int, bucket int, block int, class_id long, embedding {index.schema['embedding'].dataType.simpleString()}"
-    at = ["t", "bucket", "block"]
+    schema = f"t int, bucket int, block int, turn int, class_id long, embedding {index.schema['embedding'].dataType.simpleString()}"
+    at = ["t", "bucket", "block", "turn"]
     held = index.select("class_id", "embedding").mapInPandas(members, schema).groupBy(*at)
 
     def meet(asking: DataFrame, late: bool) -> DataFrame:

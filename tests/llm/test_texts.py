@@ -363,7 +363,11 @@ def brute_search(rows, k=20):
     return out
 
 
-def test_search_recall_and_order(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_search_recall_and_order(spark, monkeypatch, small):
+    if small:  # several functions, a sample smaller than the table, blocks of vectors and of queries
+        for name, value in {"PER_BUCKET": 8, "SAMPLE": 200, "BLOCK": 16, "ASKING": 4, "PROBES": 4}.items():
+            monkeypatch.setattr(multiprobe, name, value)
     out = queries.op4_multiprobe_search(spark, DATA).toPandas()
     e = spark.read.parquet(f"{DATA}/embeddings.parquet").toPandas()
     want = brute_search([(int(i), np.asarray(v, float)) for i, v in zip(e.vec_id, e.embedding, strict=True)])
@@ -374,6 +378,25 @@ def test_search_recall_and_order(spark):
     assert set(out.query_id) == set(want) and hits / 20 / len(want) >= 0.9
 
 
+def test_search_visits_the_likeliest_buckets():
+    r = np.random.default_rng(0)
+    for functions in (1, 3, 4):
+        plan = multiprobe.Plan(r.normal(size=(4, functions, 9)), r.normal(size=(4, functions)), 1.0, 9.0, 2.0, 7, np.zeros(0))
+        x = r.normal(size=(30, 8))
+        plan.sizes = r.integers(0, 3, (4, plan.buckets)) * (r.random((4, plan.buckets)) < 0.2)
+        order, want = plan.order(x, plan.buckets), set()
+        assert (np.sort(order, -1) == np.arange(plan.buckets)).all()
+        for t in range(4):
+            for i in range(30):
+                met = 0
+                for n, b in enumerate(order[t, i]):
+                    if (n < 7 or met <= 20) and plan.sizes[t, b]:
+                        want.add((t, i, int(b)))
+                    met += plan.sizes[t, b]
+        got = [(t, int(i), int(b)) for t, rows, buckets, _ in plan.visits(x, 20) for i, b in zip(rows, buckets, strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_search_with_copies_ties_and_unusable_vectors(spark):
     r = np.random.default_rng(1)
     rows = [(i, [float(a) for a in np.round(r.normal(0, 3, 4))]) for i in range(1, 90)]
