@@ -23,9 +23,10 @@ it, for words left out or put in) repeat each other if they share SHARED of thei
 LENGTH shingles in place, a Jaccard similarity of at least 0.8.
 
 A group of which each document has a repeat in its cell, and all are in one class,
-is done. In the others all cells of different classes are compared, in blocks of SIDE
-cells, by matrix products that count shared shingles, and those that share enough
-are verified as above. A group of more than SIDE cells first meets HEADS[0] of them.
+is done. In the others all cells of different classes are compared: those of groups
+of up to FEW unlike cells are verified as above at once, many groups together; those of
+others first meet, in blocks of SIDE cells, in matrix products that count shared
+shingles, and those that share enough are verified. A group of more than SIDE cells first meets HEADS[0] of them.
 If it stays open, it is split: two passages that share SHARED of LENGTH
 shingles share one of the first LENGTH - SHARED + 1 of both in any fixed order.
 With shingles that the heads don't hold first, this keeps apart whatever only a
@@ -55,6 +56,8 @@ BANDS = 4
 MAX_CELLS = 2_000_000
 #: Cells of a group that are compared with each other at once, and those that a larger group meets before it is split.
 SIDE, HEADS = 4096, (64, 4096)
+#: Rows of groups that are read at once, cells of groups all of whose pairs are compared at once, and shingles of pairs that are.
+ROWS, FEW, TOGETHER = 2048, 32, 1 << 16
 #: Shingles by which a passage may be shifted inside a repeat.
 DRIFT = 5
 #: Shingles of LENGTH that two passages share at a Jaccard similarity of SIMILARITY.
@@ -273,57 +276,118 @@ def _arrays(parts):
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(items))], ["doc_id", "sh"])
 
 
+def _laid(x, x_at, n, y, y_at, m, at):
+    """Parts of x, DRIFT free places around each, and beside them what of y lies there; the part of each place."""
+    size = n + 2 * DRIFT
+    of = np.repeat(np.arange(len(n)), size)
+    place = np.arange(len(of)) - (np.cumsum(size) - size)[of] - DRIFT
+    one, two = np.full(len(of), 1 << 41), np.full(len(of), 1 << 40)
+    here = np.flatnonzero((place >= 0) & (place < n[of]))
+    one[here] = x[x_at[of[here]] + place[here]]
+    place += at[of]
+    here = np.flatnonzero((place >= 0) & (place < m[of]))
+    two[here] = y[y_at[of[here]] + place[here]]
+    return one, two, of
+
+
+def _beside(one: np.ndarray, two: np.ndarray):
+    """For each drift, the places of one whose shingle lies that far beside them in two."""
+    two = np.concatenate([np.full(DRIFT, 1 << 40), two, np.full(DRIFT, 1 << 40)])
+    return (one == two[DRIFT + e : DRIFT + e + len(one)] for e in range(-DRIFT, DRIFT + 1))
+
+
+def _sums(flags: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=total[1:])
+    return total
+
+
+def _alike(x, x_at, n, y, y_at, m, at) -> tuple[np.ndarray, ...]:
+    """alike for some pairs, all of LENGTH shingles at least, at once."""
+    one, two, of = _laid(x, x_at, n, y, y_at, m, at)
+    start = np.cumsum(n + 2 * DRIFT) - n - DRIFT
+    equal = _sums(one == two)
+    equal = equal[start + n] - equal[start] == n
+    e = np.repeat(np.flatnonzero(equal), n[equal] - LENGTH + 1)
+    p = np.arange(len(e)) - np.searchsorted(e, e)
+    found = [(e, p, p + at[e], np.full(len(e), LENGTH))]
+    # passages of the others that have enough of their shingles in y
+    any_x = np.logical_or.reduce(list(_beside(one, two)))
+    of_x = _sums(any_x)
+    i = np.flatnonzero(of_x[LENGTH:] - of_x[:-LENGTH] >= SHARED)
+    k = of[i]
+    i = i[~equal[k] & (i >= start[k]) & (i + LENGTH <= (start + n)[k])]
+    if len(i):
+        some = np.zeros(len(n), bool)
+        some[of[i]] = True
+        kept = some[of]
+        one, two, of, any_x = one[kept], two[kept], of[kept], any_x[kept]
+        i = (np.cumsum(kept) - 1)[i]
+        which = np.flatnonzero(some)
+        start = np.cumsum(n[which] + 2 * DRIFT) - n[which] - DRIFT
+        k = np.searchsorted(which, of[i])
+        marked = np.zeros(len(one) + 2 * DRIFT, bool)
+        total = np.zeros((2 * DRIFT + 1, len(one) + 1), np.int32)
+        for e, same in enumerate(_beside(one, two)):
+            marked[e : e + len(one)] |= same
+            np.cumsum(same, out=total[e, 1:])
+        often = total[:, start + n[which]] - total[:, start]
+        of_x, of_y = _sums(any_x), _sums(marked)
+        in_x = of_x[i + LENGTH] - of_x[i]
+        best, shift = np.full(len(i), SHARED - 1, np.int32), np.zeros(len(i), np.int64)
+        p, length = i - start[k], m[which][k]
+        q = p + at[which][k]
+        # at most LENGTH - SHARED shingles differ, so most of a passage lies at one distance
+        for d in range(2 * DRIFT + 1):
+            most = np.minimum(in_x, of_y[i + d + LENGTH] - of_y[i + d])
+            t = np.flatnonzero((often[d] >= LENGTH // 4)[k] & (most > best) & (q + d >= DRIFT) & (q + d - DRIFT + LENGTH <= length))
+            if not len(t):
+                continue
+            pairs = sum(total[e][i[t] + LENGTH - max(0, e - d)] - total[e][i[t] + max(0, d - e)] for e in range(2 * DRIFT + 1))
+            shared = np.minimum(pairs, most[t])
+            better = shared > best[t]
+            best[t[better]], shift[t[better]] = shared[better], d - DRIFT
+        good = best >= SHARED
+        found.append((which[k][good], p[good], (q + shift)[good], best[good].astype(np.int64)))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def alike(x, x_at, n, y, y_at, m, at) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of many pairs of texts: the pair, passages of its x that a passage of its y at about that place repeats, the passages of y, and how many shingles they share.
+
+    Pair k is x[x_at:x_at + n] and y[y_at:y_at + m], and passage p of the one lies at
+    p + at of the other. Both windows of two such passages hold SHARED shingles that
+    the other has no more than DRIFT places beside them. Pairs are taken together, up to
+    TOGETHER shingles, as most are short.
+    """
+    found = [(np.zeros(0, np.int64),) * 4]
+    long = np.flatnonzero(n >= LENGTH)
+    done = np.append(0, np.cumsum(n[long]))
+    lo = 0
+    while lo < len(long):
+        hi = max(lo + 1, int(np.searchsorted(done, done[lo] + TOGETHER, "right")) - 1)
+        here = long[lo:hi]
+        k, *rest = _alike(x, x_at[here], n[here], y, y_at[here], m[here], at[here])
+        found.append((here[k], *rest))
+        lo = hi
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 def similar(x: np.ndarray, y: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passages of x that a passage of y at about that place repeats, the passages of y, and how many shingles they share.
+    """alike for one pair of texts."""
+    one = lambda v: np.array([v], np.int64)
+    return alike(x, one(0), one(len(x)), y, one(0), one(len(y)), one(at))[1:]
 
-    Passage p of x lies at p + at of y. Both windows of a pair hold SHARED shingles
-    that the other has no more than DRIFT places beside them.
-    """
-    n = len(x)
-    none = (np.zeros(0, np.int64),) * 3
-    if n < LENGTH:
-        return none
-    # y as far as it is needed, with room for the drift on both sides
-    wide = np.full(n + 2 * DRIFT, 1 << 40)
-    lo, hi = max(at - DRIFT, 0), min(at + n + DRIFT, len(y))
-    if lo >= hi:
-        return none
-    wide[lo - at + DRIFT : hi - at + DRIFT] = y[lo:hi]
-    total = lambda f: np.append(0, np.cumsum(f))
-    p = np.arange(n - LENGTH + 1)
-    here = total(x == wide[DRIFT : DRIFT + n])
-    if (here[LENGTH:] - here[:-LENGTH] == LENGTH).all():
-        return p, p + at, np.full(len(p), LENGTH)
-    same = {e: x == wide[DRIFT + e : DRIFT + e + n] for e in range(-DRIFT, DRIFT + 1)}
-    same = {e: f for e, f in same.items() if f.any()}
-    of_x = total(np.logical_or.reduce(list(same.values()))) if same else np.zeros(n + 1, np.int64)
-    in_x = of_x[p + LENGTH] - of_x[p]
-    p = p[in_x >= SHARED]
-    if not len(p):
-        return none
-    in_x = in_x[p]
-    marked = np.zeros(n + 2 * DRIFT, bool)
-    for e, f in same.items():
-        marked[DRIFT + e : DRIFT + e + n] |= f
-    of_y, of = total(marked), {e: total(f) for e, f in same.items()}
-    best, shift = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
-    # at most LENGTH - SHARED shingles differ, so most of a passage lies at one distance
-    for d in (d for d, f in same.items() if np.count_nonzero(f) >= LENGTH // 4):
-        pairs = sum(t[p + LENGTH - max(0, e - d)] - t[p + max(0, d - e)] for e, t in of.items())
-        m = np.minimum(np.minimum(pairs, in_x), of_y[p + DRIFT + d + LENGTH] - of_y[p + DRIFT + d])
-        q = p + at + d
-        better = (m > best) & (q >= 0) & (q + LENGTH <= len(y))
-        best[better], shift[better] = m[better], d
-    good = best >= SHARED
-    return p[good], p[good] + at + shift[good], best[good]
-
-
-def spans(at: np.ndarray, shared: np.ndarray) -> list[tuple[int, int, float]]:
-    """Runs [start, end) of words that passages (by where they start) cover, and the best similarity in each."""
-    order = np.argsort(at, kind="stable")
-    at, shared = at[order], shared[order]
-    cuts = np.flatnonzero(np.diff(at) > LENGTH) + 1
-    return [(int(x[0]), int(x[-1]) + LENGTH + SHINGLE - 1, float(s.max() / (2 * LENGTH - s.max()))) for x, s in zip(np.split(at, cuts), np.split(shared, cuts), strict=True)] if len(at) else []
+
+def spans(pair: np.ndarray, at: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each pair, the runs [start, end) of words that passages (by where they start) cover, and the best similarity in each."""
+    order = np.lexsort((at, pair))
+    pair, at, shared = pair[order], at[order], shared[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (np.diff(at) > LENGTH)
+    first = np.flatnonzero(new)
+    best = np.maximum.reduceat(shared, first) if len(first) else shared
+    return pair[first], at[first], at[np.append(first[1:], len(at)) - 1] + LENGTH + SHINGLE - 1 if len(first) else first, best / (2 * LENGTH - best)
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -340,20 +404,20 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _verified(parts):
     for part in parts:
-        rows = []
         column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
         (x, at_x), (y, at_y) = _lists(column("sa")), _lists(column("sb"))
-        of = np.append(0, np.cumsum(column("at").value_lengths().to_numpy()))
+        k = np.repeat(np.arange(part.num_rows), column("at").value_lengths().to_numpy())
         at = column("at").flatten()
-        shift, lo, hi = (at.field(c).to_numpy() for c in ("shift", "lo", "hi"))
-        for k, (a, b, x_lo, y_lo) in enumerate(zip(*(column(c).to_numpy().tolist() for c in ("a", "b", "a_lo", "b_lo")), strict=True)):
-            one, two = x[at_x[k] : at_x[k + 1]], y[at_y[k] : at_y[k + 1]]
-            for i in range(of[k], of[k + 1]):
-                start = max(lo[i], 0)
-                p, q, shared = similar(one[start - x_lo : hi[i] + LENGTH - x_lo], two, start - shift[i] - y_lo)
-                rows += [(a, b, start + s, start + e, sim) for s, e, sim in spans(p, shared)]
-                rows += [(b, a, y_lo + s, y_lo + e, sim) for s, e, sim in spans(q, shared)]
-        yield _batch(rows, NAMES, KINDS)
+        shift, lo, hi = (at.field(c).to_numpy().astype(np.int64) for c in ("shift", "lo", "hi"))
+        a, b, x_lo, y_lo = (column(c).to_numpy()[k] for c in ("a", "b", "a_lo", "b_lo"))
+        start = np.maximum(lo, 0)
+        x_at, y_at = at_x[k] + start - x_lo, at_y[k]
+        pair, p, q, shared = alike(x, x_at, np.minimum(hi + LENGTH - start, at_x[k + 1] - x_at), y, y_at, at_y[k + 1] - y_at, start - shift - y_lo)
+        rows = []
+        for one, two, places, base in ((a, b, p, start), (b, a, q, y_lo)):
+            i, s, e, sim = spans(pair, places, shared)
+            rows.append((one[i], two[i], base[i] + s, base[i] + e, sim))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(t) for c, t in zip(zip(*rows, strict=True), KINDS, strict=True)], NAMES)
 
 
 def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -433,76 +497,145 @@ def _firsts(x: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _runs(parts, names: tuple[str, ...]):
-    """Tables of the rows that agree in names; they come in order."""
-    waiting = []
+    """Tables of whole groups of rows that agree in names, and where their groups start and end; the rows come in order."""
+    waiting, edges, n, last = [], [], 0, None
+    whole = lambda rows: pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
     for part in parts:
         if not part.num_rows:
             continue
         part = pa.RecordBatch.from_arrays(part.columns, part.schema.names)
         k = np.column_stack([part.column(part.schema.get_field_index(c)).to_numpy() for c in names])
-        edges = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1).tolist(), len(k)]
-        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            if waiting and (lo or tuple(k[0]) != waiting[0]):
-                yield pa.Table.from_batches(waiting[1:])
-                waiting = []
-            waiting = waiting or [tuple(k[lo])]
-            waiting.append(part.slice(lo, hi - lo))
-    if waiting:
-        yield pa.Table.from_batches(waiting[1:])
+        new = np.flatnonzero(np.append(last is None or (k[0] != last).any(), (k[1:] != k[:-1]).any(1))).tolist()
+        last = k[-1]
+        if new and n + new[-1] >= ROWS:
+            if n + new[-1]:
+                yield whole([*waiting, part.slice(0, new[-1])]), np.array([*edges, *(n + x for x in new)])
+            part, waiting, edges, n, new = part.slice(new[-1]), [], [], 0, [0]
+        waiting.append(part)
+        edges += [n + x for x in new]
+        n += part.num_rows
+    if n:
+        yield whole(waiting), np.array([*edges, n])
 
 
 MET = f"{FOUND}, key long, lo int, token int"
 
 
+def _repeats(flat, at, doc, lo, mid, a, b) -> tuple[np.ndarray, list[tuple]]:
+    """Which of the pairs of cells a and b repeat each other, and each one's rows of repeats."""
+    size, base = np.diff(at), mid - lo
+    pair, p, q, shared = alike(flat, at[a], size[a], flat, at[b], size[b], base[b] - base[a])
+    rows = []
+    for one, two, places in ((a, b, p), (b, a, q)):
+        i, s, e, sim = spans(pair, places, shared)
+        rows.append((i, doc[one[i]], doc[two[i]], lo[one[i]] + s, lo[one[i]] + e, sim))
+    i, *columns = (np.concatenate(c) for c in zip(*rows, strict=True))
+    of = {}
+    for k, *row in zip(i.tolist(), *(c.tolist() for c in columns), strict=True):
+        of.setdefault(k, []).append(tuple(row))
+    return np.array(sorted(of), np.int64), of
+
+
+def _joined(flat, at, doc, lo, mid, cls, a, b, made: list[tuple]) -> None:
+    """Compare the pairs of cells a and b, in order, but those whose classes earlier ones joined; cls is changed."""
+    step = 32
+    while len(a):
+        good, rows = _repeats(flat, at, doc, lo, mid, a[:step], b[:step])
+        for k in good:
+            i, j = a[k], b[k]
+            if cls[i] != cls[j]:
+                made += rows[int(k)]
+                cls[cls == cls[j]] = cls[i]
+        a, b = a[step:], b[step:]
+        if len(good):
+            left = cls[a] != cls[b]
+            a, b = a[left], b[left]
+        step = 32 if len(good) else min(2 * step, SIDE)
+
+
+def _in_groups(name, *by) -> np.ndarray:
+    """The last row, in the order of the last of by, of the rows of a group that agree in the others."""
+    order = np.lexsort((*by[::-1], name))
+    last = np.zeros(len(order), bool)
+    last[-1:] = True
+    for x in (name, *by[:-1]):
+        last[:-1] |= x[order][1:] != x[order][:-1]
+    return order[last]
+
+
 def _met(parts, split: bool):
     """Of each block of a group's cells and its heads: repeats that join classes; for groups to be split, the cells' first shingles."""
     made, firsts = [], []
-    for run in _runs(parts, ("key", "block")):
-        sh = run["sh"].combine_chunks()
-        flat, at = _lists(sh.chunk(0) if isinstance(sh, pa.ChunkedArray) else sh)
-        doc, lo, mid, cls, u, n, head, own = (run[c].to_numpy() for c in ("doc_id", "lo", "mid", "cls", "u", "n", "head", "own"))
-        _, number, often = np.unique(flat, return_inverse=True, return_counts=True)
-        number = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[number]
-        if n[0] <= SIDE:  # equal cells of a class count once
-            once = {(c, flat[i:j].tobytes()): k for k, (c, i, j) in enumerate(zip(cls.tolist(), at[:-1], at[1:], strict=True))}
-            head = np.zeros(len(doc), bool)
-            head[list(once.values())] = True
-            own = head
-        heads, members = np.flatnonzero(head), np.flatnonzero(own)
-        # of two cells of different classes one at least is outside the largest class
-        kinds, of_kind, many = np.unique(cls, return_inverse=True, return_counts=True)
-        minor = of_kind != np.argmax(many)
+    for run, edges in _runs(parts, ("key", "block")):
+        column = lambda c: run.column(run.schema.get_field_index(c))  # noqa: B023, E731
+        flat, at = _lists(column("sh"))
+        doc, lo, mid, cls, u, n, head, own = (column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "lo", "mid", "cls", "u", "n", "head", "own"))
         cls = cls.copy()
-        sides = [(heads[minor[heads]], members), (heads[~minor[heads]], members[minor[members]])]
-        for some, others in ((x[i : i + 256], y) for x, y in sides for i in range(0, len(x), 256)):
-            if not len(others) or n[0] <= SIDE and not minor[some[0]]:
-                continue
-            later = (u[others] > u[some][:, None]) | ((u[others] == u[some][:, None]) & (others > some[:, None]))
-            if n[0] <= SIDE:  # all are heads: pairs with the largest class are met from the other side alone
-                later |= ~minor[others]
-            near = later & (doc[some][:, None] != doc[others]) & (cls[some][:, None] != cls[others])
-            if near.any():
-                near &= _overlaps(number, at, some, others) >= SHARED
-            for i, j in np.argwhere(near):
-                a, b = some[i], others[j]
-                if cls[a] == cls[b]:
-                    continue
-                p, q, shared = similar(flat[at[a] : at[a + 1]], flat[at[b] : at[b + 1]], int((mid[b] - lo[b]) - (mid[a] - lo[a])))
-                if len(p):
-                    made += [(doc[a], doc[b], lo[a] + s, lo[a] + e, sim) for s, e, sim in spans(p, shared)]
-                    made += [(doc[b], doc[a], lo[b] + s, lo[b] + e, sim) for s, e, sim in spans(q, shared)]
-                    cls[cls == cls[b]] = cls[a]
-        if split and n[0] > SIDE:
-            common = np.concatenate([np.zeros(0, np.int32), *(flat[at[i] : at[i + 1]] for i in heads)])
-            key = run["key"][0].as_py()
-            for i in members:
-                firsts += [(doc[i], key, lo[i], t) for t in _firsts(flat[at[i] : at[i + 1]], common)]
+        group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        # equal cells of a class count once in a group that is compared whole; these are ordered by u
+        whole = np.flatnonzero(n <= SIDE)
+        once = whole[_in_groups(group[whole], cls[whole], contents(flat.astype(np.int64).view(np.uint64), at[:-1], at[1:] - LENGTH)[whole], u[whole])]
+        once = once[np.lexsort((lo[once], doc[once], u[once], group[once]))]
+        size = np.bincount(group[once], minlength=len(edges) - 1)
+        base = np.cumsum(size) - size
+        # all pairs of many small groups at once
+        few = np.flatnonzero(size <= FEW)
+        area = size[few] ** 2
+        k = np.repeat(few, area)
+        place = np.arange(len(k)) - np.repeat(np.cumsum(area) - area, area)
+        i, j = place // np.maximum(size[k], 1), place % np.maximum(size[k], 1)
+        a, b = once[(base[k] + i)[i < j]], once[(base[k] + j)[i < j]]
+        far = (cls[a] != cls[b]) & (doc[a] != doc[b])
+        a, b = a[far], b[far]
+        good, rows = _repeats(flat, at, doc, lo, mid, a, b)
+        for x in good:
+            i, j = a[x], b[x]
+            if cls[i] != cls[j]:
+                made += rows[int(x)]
+                here = cls[edges[group[i]] : edges[group[i] + 1]]
+                here[here == cls[j]] = cls[i]
+        for g in np.flatnonzero((size > FEW) | (n[edges[:-1]] > SIDE)).tolist():
+            here = np.arange(edges[g], edges[g + 1])
+            all_pairs = n[here[0]] <= SIDE
+            some_cells = once[base[g] : base[g] + size[g]] if all_pairs else here
+            one_at = np.append(0, np.cumsum(np.diff(at)[some_cells]))
+            index = np.arange(one_at[-1]) + np.repeat(at[some_cells] - one_at[:-1], np.diff(one_at))
+            _large(flat[index], one_at, *(c[some_cells] for c in (doc, lo, mid, cls, u, head, own)), all_pairs, made)
+            if split and not all_pairs:
+                common = np.concatenate([np.zeros(0, np.int32), *(flat[at[i] : at[i + 1]] for i in here[head[here]])])
+                key = column("key")[here[0]].as_py()
+                for i in here[own[here]]:
+                    firsts += [(doc[i], key, lo[i], t) for t in _firsts(flat[at[i] : at[i + 1]], common)]
         if len(made) + len(firsts) > 20000:
             yield _both(made, firsts)
             made, firsts = [], []
     yield _both(made, firsts)
 
 
+def _large(flat, at, doc, lo, mid, cls, u, head, own, all_pairs: bool, made: list[tuple]) -> None:
+    """Compare all cells of a group, or its own cells with its heads; cells that share enough shingles, wherever, are verified."""
+    if all_pairs:
+        head = own = np.ones(len(doc), bool)
+    _, number, often = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[number]
+    heads, members = np.flatnonzero(head), np.flatnonzero(own)
+    # of two cells of different classes one at least is outside the largest class
+    _, of_kind, many = np.unique(cls, return_inverse=True, return_counts=True)
+    minor = of_kind != np.argmax(many)
+    sides = [(heads[minor[heads]], members), (heads[~minor[heads]], members[minor[members]])]
+    for some, others in ((x[i : i + 256], y) for x, y in sides for i in range(0, len(x), 256)):
+        if not len(others) or all_pairs and not minor[some[0]]:
+            continue
+        later = (u[others] > u[some][:, None]) | ((u[others] == u[some][:, None]) & (others > some[:, None]))
+        if all_pairs:  # pairs with the largest class are met from the other side alone
+            later |= ~minor[others]
+        near = later & (doc[some][:, None] != doc[others]) & (cls[some][:, None] != cls[others])
+        if near.any():
+            near &= _overlaps(number, at, some, others) >= SHARED
+        i, j = np.nonzero(near)
+        _joined(flat, at, doc, lo, mid, cls, some[i], others[j], made)
+
+
 def _both(made: list[tuple], firsts: list[tuple]) -> pa.RecordBatch:
     rows = [(*r, None, None, None) for r in made] + [(d, None, None, None, None, key, lo, t) for d, key, lo, t in firsts]
     return _batch(rows, [*NAMES, "key", "lo", "token"], [*KINDS, pa.int64(), pa.int32(), pa.int32()])

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gristmill.llm import bagminhash, lines, passages
@@ -360,6 +361,89 @@ def test_scattered_shingles_are_no_passage():
     assert len(passages.similar(loop, np.concatenate([np.arange(40), loop[:30], np.arange(300, 340)]), 40)[0]) == 0
 
 
+def brute_alike(x, y, at):
+    """Passages p of x, q of y and the shingles they share, by the definition, one pair of texts and one passage at a time."""
+    drift, length = passages.DRIFT, passages.LENGTH
+    same = {(i, e) for i in range(len(x)) for e in range(-drift, drift + 1) if 0 <= at + i + e < len(y) and x[i] == y[at + i + e]}
+    often = Counter(e for _, e in same)
+    in_x, in_y = {i for i, _ in same}, {at + i + e for i, e in same}
+    if often[0] == len(x):  # y holds all of x in place
+        yield from ((p, p + at, length) for p in range(len(x) - length + 1))
+        return
+    for p in range(len(x) - length + 1):
+        best, place = 0, 0
+        for d in range(-drift, drift + 1):
+            q = p + at + d
+            if often[d] < length // 4 or q < 0 or q + length > len(y):
+                continue
+            one, two = range(p, p + length), range(q, q + length)
+            pairs = sum((i, e) in same and at + i + e in two for i in one for e in range(-drift, drift + 1))
+            shared = min(pairs, len(in_x & set(one)), len(in_y & set(two)))
+            best, place = max((best, place), (shared, q), key=lambda b: b[0])
+        if best >= passages.SHARED:
+            yield p, place, best
+
+
+def edited(r, x):
+    x = x.tolist()
+    for _ in range(r.integers(0, 6)):
+        k = r.integers(len(x))
+        x[k : k + r.integers(0, 2)] = r.integers(1000, 9000, r.integers(0, 2)).tolist()
+    return np.array(x, np.int32)
+
+
+def test_many_pairs_of_texts_are_verified_together(monkeypatch):
+    r = np.random.default_rng(17)
+    xs = [r.integers(0, 500 if k % 7 else 3, r.integers(0, 120)).astype(np.int32) for k in range(300)]
+    ys = [np.concatenate([r.integers(0, 500, k % 9), edited(r, x) if len(x) and k % 5 else x, r.integers(0, 500, k % 4)]).astype(np.int32) for k, x in enumerate(xs)]
+    at = np.array([k % 9 + r.integers(-3, 4) * (k % 3 == 0) for k in range(300)])
+    want = [(k, *f) for k in range(300) for f in brute_alike(xs[k], ys[k], int(at[k]))]
+    n, m = (np.array([len(t) for t in ts]) for ts in (xs, ys))
+    calls, once = [], passages._alike
+    monkeypatch.setattr(passages, "_alike", lambda *a: calls.append(1) or once(*a))
+    for together, most in ((1 << 16, 1), (500, 60), (1, 300)):
+        monkeypatch.setattr(passages, "TOGETHER", together)
+        calls.clear()
+        got = passages.alike(np.concatenate(xs), np.cumsum(n) - n, n, np.concatenate(ys), np.cumsum(m) - m, m, at)
+        assert sorted(zip(*(c.tolist() for c in got), strict=True)) == sorted(want) and len(calls) <= most
+    assert len(want) > 1000
+
+
+def test_groups_of_all_sizes_are_joined_as_pair_by_pair(monkeypatch):
+    r = np.random.default_rng(19)
+    rows = []
+    for key in range(40):
+        near = [r.integers(0, 10**6, 50) for _ in range(r.integers(1, 4))]
+        for _ in range(r.integers(2, 30)):
+            kind = r.integers(len(near))
+            x = near[kind].copy()
+            x[r.choice(50, r.integers(0, 9), replace=False)] = r.integers(10**6, 10**7)
+            rows.append((key, 0, int(r.integers(25)), 3, 20, int(r.integers(4)), r.random(), x.astype(np.int32)))
+    size = Counter(x[0] for x in rows)
+    want = {}
+    for key in range(40):
+        here = [x for x in rows if x[0] == key]
+        label = [x[5] for x in here]
+        for i, x in enumerate(here):
+            for j, y in enumerate(here):
+                if x[2] != y[2] and label[i] != label[j] and len(passages.similar(x[7], y[7], 0)[0]):
+                    label = [label[i] if c == label[j] else c for c in label]
+        want[key] = len(set(label))
+    names = ["key", "block", "doc_id", "lo", "mid", "cls", "u", "sh"]
+    columns = [list(c) for c in zip(*rows, strict=True)]
+    table = pa.table({**dict(zip(names, columns, strict=True)), "n": [size[k] for k in columns[0]], "head": [True] * len(rows), "own": [True] * len(rows)})
+    calls, once = [], passages._repeats
+    monkeypatch.setattr(passages, "_repeats", lambda *a: calls.append(1) or once(*a))
+    for few, read, batch in ((32, 2048, 512), (0, 1, 7), (5, 50, 1000)):
+        monkeypatch.setattr(passages, "FEW", few)
+        monkeypatch.setattr(passages, "ROWS", read)
+        calls.clear()
+        made = [b.to_pylist() for b in passages._met(iter(table.to_batches(max_chunksize=batch)), False)]
+        joined = sum(len(b) for b in made)
+        assert joined == 2 * sum(len({x[5] for x in rows if x[0] == key}) - want[key] for key in range(40)) > 0
+        assert few < 32 or len(calls) == 1
+
+
 def test_firsts_meet_wherever_passages_are_alike():
     r = np.random.default_rng(8)
     common = np.arange(60).astype(np.int32)
