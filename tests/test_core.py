@@ -402,6 +402,20 @@ def test_blocks_and_pretty_texts(spark):
     assert {r["bucket"]: r["n"] for r in pretty.bucket_counts(split.limit(0)).collect()} == {"cpt_sft": 0, "other": 0}
 
 
+def plan_after(df):
+    """The plan that ran, without the parts that reuse others."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_records_need_no_shuffle_and_keep_their_own_text(spark):
+    rows = [("u", "<|user|>a"), ("u", '<|tool_output|>{"b":1}'), (None, "c")]
+    out = pretty.pretty_records(spark.createDataFrame(rows, "uuid string, text string"))
+    assert "Exchange" not in plan_after(out)
+    want = [("u", "    a"), ("u", '    {\n      "b": 1\n    }'), (None, "    c")]
+    assert sorted((str(r["uuid"]), r["record"].split("Messages:\n")[1]) for r in out.collect()) == sorted((str(u), f"{h}{x}\n") for (u, x), h in zip(want, ("  [user]\n", "  [tool_output]\n", ""), strict=True))
+
+
 # --- sinks and the run -------------------------------------------------------------------------------------------------
 
 
