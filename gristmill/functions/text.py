@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Every code point that Unicode-aware stripping removes, as the inside of a regex class.
 BLANK = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+#: The same, one by one.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{BLANK}]", c))
 #: Line boundaries of Unicode-aware line splitting.
 BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 U64 = 18446744073709551616.0
@@ -19,7 +23,7 @@ def let(value: Column, f) -> Column:
 
 def strip(text: Column) -> Column:
     """text without white space of any kind at its ends."""
-    return F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def ensure_text(text: Column) -> Column:
@@ -61,12 +65,10 @@ def first_truthy(*columns: Column) -> Column:
 def by_hash(items: Column, seed: Column) -> Column:
     """The items (strings) in the order of SHA-1 of seed and item, a reproducible shuffle."""
     keyed = F.transform(items, lambda x: F.struct(F.sha1(F.concat(seed, F.lit("|"), x).cast("binary")).alias("h"), x.alias("x")))
-    return F.transform(F.array_sort(keyed), lambda e: e["x"])
+    return F.transform(F.sort_array(keyed), lambda e: e["x"])
 
 
 def slug(name: str) -> str:
     """A dataset's name as a folder name."""
-    import re
-
     name = name.replace("/", "__").replace("\\", "__").replace("..", "_")
     return re.sub(r"[^\w.-]", "_", name)[:180]

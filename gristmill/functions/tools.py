@@ -28,7 +28,7 @@ def tool_specs(text: Column) -> Column:
 
 def tool_name(tool: Column) -> Column:
     """Function.name if it is a string, else name; empty if neither is."""
-    return F.coalesce(as_string(member(member(tool, "function"), "name")), as_string(member(tool, "name")), F.lit(""))
+    return F.coalesce(as_string(member(tool, "function.name")), as_string(member(tool, "name")), F.lit(""))
 
 
 def _scalars(items: Column) -> Column:
@@ -38,17 +38,17 @@ def _scalars(items: Column) -> Column:
 
 def required_params(tool: Column) -> Column:
     """The strings and whole numbers of function.parameters.required."""
-    return _scalars(as_array(member(member(member(tool, "function"), "parameters"), "required")))
+    return _scalars(as_array(member(tool, "function.parameters.required")))
 
 
 def param_schema(tool: Column) -> Column:
     """Function.parameters.properties as a map, empty if there are none."""
-    return F.coalesce(as_map(member(member(member(tool, "function"), "parameters"), "properties")), F.create_map().cast("map<string,variant>"))
+    return F.coalesce(as_map(member(tool, "function.parameters.properties")), F.create_map().cast("map<string,variant>"))
 
 
 def tool_description(tool: Column) -> Column:
     """Function.description without white space at its ends, else description as it is."""
-    return F.coalesce(strip(as_string(member(member(tool, "function"), "description"))), as_string(member(tool, "description")), F.lit(""))
+    return F.coalesce(strip(as_string(member(tool, "function.description"))), as_string(member(tool, "description")), F.lit(""))
 
 
 def parse_call(payload: Column) -> Column:

@@ -14,20 +14,25 @@ from .text import let
 #: Finds each comma or colon of a compact JSON text that isn't inside a string.
 _MARKS = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:])*+)([,:])'
 
+#: How every JSON text begins. The parser's exceptions cost far more than this look.
+_BEGINS = r'^[ \t\r\n]*+(?:\{[ \t\r\n]*+["}]|["\[tfn0-9-])'
+
 
 def parse_json(text: Column) -> Column:
     """The JSON value of a text, or null. try_parse_json passes over what follows a value; this doesn't."""
 
     def only(t: Column) -> Column:
         listed = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))).try_cast("array<variant>")
-        held = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-        return let(listed, lambda items: F.when((F.size(items) == 1) & held.isNotNull(), F.get(items, 0)))
+        # only a text with a bracket of its own can close the list early
+        held = lambda: ~F.contains(t, F.lit("]")) | F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}"))).isNotNull()
+        one = let(listed, lambda items: F.when(F.coalesce(F.size(items) == 1, F.lit(False)), F.when(held(), F.get(items, 0))))
+        return F.when(t.rlike(_BEGINS), one)
 
     return let(text, only)
 
 
 def member(v: Column, key: str) -> Column:
-    """The member of an object, or null if it isn't there; a JSON null is there."""
+    """The member of an object (of objects in it: a.b.c), or null if it isn't there; a JSON null is there."""
     return F.try_variant_get(v, f"$.{key}", "variant")
 
 
@@ -40,11 +45,12 @@ def is_string(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(kind(v), F.lit("OBJECT")), F.lit(False))
+    # schema_of_variant would walk through all of it
+    return v.try_cast("map<string,variant>").isNotNull()
 
 
 def is_array(v: Column) -> Column:
-    return F.coalesce(F.startswith(kind(v), F.lit("ARRAY")), F.lit(False))
+    return v.try_cast("array<variant>").isNotNull()
 
 
 def is_there(v: Column) -> Column:
@@ -59,11 +65,11 @@ def as_string(v: Column) -> Column:
 
 def as_array(v: Column) -> Column:
     """The elements if it is an array, else null. One bad element doesn't spoil the others."""
-    return let(v, lambda x: F.when(is_array(x), x.try_cast("array<variant>")))
+    return v.try_cast("array<variant>")
 
 
 def as_map(v: Column) -> Column:
-    return let(v, lambda x: F.when(is_object(x), x.try_cast("map<string,variant>")))
+    return v.try_cast("map<string,variant>")
 
 
 def objects(items: Column) -> Column:

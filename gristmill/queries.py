@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +12,7 @@ from .functions.variant import member
 from .operators import adapters, filters, mcq, param_pool, pretty, sampling
 from .plans import pipeline
 from .sources import sinks
+from .sources.sinks import scratch
 from .sources.readers import read, read_json_array, read_jsonl
 from .sources.readers import parsed as parsed_lines
 
@@ -38,16 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder in the one that a cluster shares; a temporary one only for a local session without it."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        return f"{conf.rstrip('/')}/q-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"file://{tempfile.mkdtemp(prefix='gristmill-')}/q"
-
-
 def as_records(rows: DataFrame, file: str, pos: str, **fields) -> DataFrame:
     """Rows as what a reader gives: file, pos and an object of the fields."""
     return rows.select(F.lit(file).alias("file"), F.col(pos).alias("pos"), F.to_variant_object(F.struct(*[v.alias(k) for k, v in fields.items()])).alias("raw"))
@@ -273,10 +261,16 @@ def q20_task_action_split(spark, sf_dir):
 # --- tool calls ----------------------------------------------------------------------------------------------------
 
 
+def tasks_of(spark) -> int:
+    """Tasks for rows that take long for their bytes, which would come a whole table to a task."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def call_texts(spark, sf_dir) -> DataFrame:
     """uuid and text: the events of each user as tool calls, in order."""
     call = F.concat(F.lit('<|tool_call|>\n{"name": "'), "event_type", F.lit('", "arguments": '), "props", F.lit("}\n</|tool_call|>"))
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", call.alias("c")))).alias("calls"))
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "props").repartition(tasks_of(spark), "user_id")
+    rows = events.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", call.alias("c")))).alias("calls"))
     return rows.select(F.col("user_id").cast("string").alias("uuid"), F.array_join(F.transform("calls", lambda x: x["c"]), "\n\n").alias("text"))
 
 
@@ -586,7 +580,7 @@ def q42_blacklist_files(spark, sf_dir):
 
 def _tool_texts(spark, sf_dir):
     """p_partkey and text: a list of two tools for each part, one of them named at its top level, and a call of the first."""
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand", "p_type").repartition(tasks_of(spark), "p_partkey")
     size = F.col("p_size").cast("string")
     one = F.concat(F.lit('{"type": "function", "function": {"name": "make_'), size, F.lit('", "description": "  Make '), "p_brand", F.lit('. ", "parameters": {"type": "object", "required": ["brand", "size", '), size, F.lit(', null, true], "properties": {"brand": {"type": "string"}, "size": {"type": "integer"}}}}}'))
     two = F.concat(F.lit('{"name": "sell", "description": " '), "p_type", F.lit(' "}'))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import heapq
 import math
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,23 @@ from pyspark.sql import functions as F
 from ..operators.sampling import running_sum
 
 
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder in the one that a cluster shares; a temporary one only for a local session without it."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        return f"{conf.rstrip('/')}/q-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"file://{tempfile.mkdtemp(prefix='gristmill-')}/q"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: computed once, and of a size that Spark knows when it plans joins."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_json_lines(df: DataFrame) -> DataFrame:
     """K1: one compact JSON object for each row; null fields are left out, VARIANTs are written as they are."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))

@@ -408,6 +408,13 @@ def plan_after(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
+def test_small_tables_of_long_work_are_dealt_to_many_tasks(spark):
+    from gristmill import queries
+
+    assert queries._tool_texts(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
+    assert queries.call_texts(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
+
+
 def test_records_need_no_shuffle_and_keep_their_own_text(spark):
     rows = [("u", "<|user|>a"), ("u", '<|tool_output|>{"b":1}'), (None, "c")]
     out = pretty.pretty_records(spark.createDataFrame(rows, "uuid string, text string"))
