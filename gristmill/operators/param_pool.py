@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from ..functions.text import let
 from ..functions.tools import call_args, call_payloads, cluster_label, param_schema, parse_call, tool_name, tool_specs, value_type
 from ..functions.variant import as_map, as_string, canonical, display, member
 
@@ -23,16 +24,25 @@ SCHEMA = "level string, func string, param string, p_type string, observed long,
 
 
 def calls(docs: DataFrame, *keys: str, text: str = "text") -> DataFrame:
-    """One row for each parsed call with a name: keys, call_no, name, args, schema (its properties).
+    """One row for each parsed call with a name: keys, call_no, name, args, schema (its properties)."""
+    rows = docs.select(*keys, F.posexplode(parsed_calls(F.col(text))).alias("call_no", "call"))
+    return rows.where("call.name <> ''").select(*keys, "call_no", "call.name", "call.args", "call.schema")
 
-    The last specification of a name gives the schema.
+
+def parsed_calls(text: Column) -> Column:
+    """An array of (name, args, schema), one for each call of the text; the name is empty if there is none or the call can't be parsed.
+
+    The last specification of a name gives the schema. Each call is parsed here once,
+    before rows are made of them: later conditions and columns look at the result.
     """
-    specs = F.transform(tool_specs(F.col(text)), lambda t: F.named_struct(F.lit("name"), tool_name(t), F.lit("schema"), param_schema(t)))
-    rows = docs.select(*keys, specs.alias("specs"), F.posexplode(call_payloads(F.col(text))).alias("call_no", "payload"))
-    rows = rows.withColumn("call", parse_call(F.col("payload"))).withColumn("name", as_string(member(F.col("call"), "name"))).where("name <> ''")
-    own = F.filter("specs", lambda s: s["name"] == F.col("name"))
-    schema = F.when(F.size(own) > 0, F.element_at(own, -1)["schema"])
-    return rows.select(*keys, "call_no", "name", call_args(F.col("call")).alias("args"), schema.alias("schema"))
+    specs = F.transform(tool_specs(text), lambda t: F.named_struct(F.lit("name"), tool_name(t), F.lit("schema"), param_schema(t)))
+
+    def of_call(c: Column, known: Column) -> Column:
+        of_name = lambda n: F.element_at(F.filter(known, lambda s: s["name"] == n), -1)["schema"]
+        seen = lambda n: F.named_struct(F.lit("name"), n, F.lit("args"), call_args(c), F.lit("schema"), F.when(F.exists(known, lambda s: s["name"] == n), of_name(n)))
+        return let(F.coalesce(as_string(member(c, "name")), F.lit("")), seen)
+
+    return let(specs, lambda known: F.transform(call_payloads(text), lambda p: let(parse_call(p), lambda c: of_call(c, known))))
 
 
 def observations(called: DataFrame, *keys: str) -> DataFrame:
@@ -47,7 +57,9 @@ def build_pool(seen: DataFrame, order: list[Column], max_values: int = 120) -> D
     """observations to a pool. order is the order of the calls' records.
 
     Values are made distinct and counted before any list is collected, so a
-    cluster's list never holds more than max_values of them.
+    cluster's list never holds more than max_values of them. Lists and counts read
+    one exchange of these values: conditions that always hold keep all of its columns
+    in both, whatever a query selects, so that Spark shares it.
     """
     at = F.struct(*order, "call_no", "param")
     rows = seen.select("func", "param", "p_type", "cluster", canonical(F.col("value")).alias("key"), at.alias("at"))
@@ -60,10 +72,10 @@ def build_pool(seen: DataFrame, order: list[Column], max_values: int = 120) -> D
     rows = rows.groupBy(*bucket, "key").agg(F.sum("n").alias("n"), F.min(F.struct("at", "p_type")).alias("first"))
     nth = F.row_number().over(W.Window.partitionBy(*bucket).orderBy("first"))
     # counts need all values, lists only the first ones
-    counts = rows.groupBy(*bucket).agg(F.sum("n").alias("count"))
-    heads = rows.withColumn("nth", nth).where(F.col("nth") <= max_values)
-    lists = heads.groupBy(*bucket).agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "key"))), lambda e: e["key"]).alias("values"))
-    entries = rows.groupBy(*entry).agg(F.sum("n").alias("observed"), F.min("first")["p_type"].alias("p_type"))
+    counts = rows.groupBy(*bucket).agg(F.sum("n").alias("count"), F.min("first").alias("first")).where("count > 0 and first is not null")
+    heads = rows.withColumn("nth", nth).where((F.col("nth") <= max_values) & (F.col("n") > 0))
+    lists = heads.groupBy(*bucket).agg(F.transform(F.sort_array(F.collect_list(F.struct("nth", "key"))), lambda e: e["key"]).alias("values"))
+    entries = counts.groupBy(*entry).agg(F.sum("count").alias("observed"), F.min("first")["p_type"].alias("p_type"))
     same = lambda a, b, on: [a[c].eqNullSafe(b[c]) for c in on]
     both = counts.join(lists, same(counts, lists, bucket)).select(*[counts[c] for c in bucket], "count", "values")
     out = both.join(entries, same(both, entries, entry)).select(*[both[c] for c in bucket[:3]], "p_type", "observed", "cluster", "count", "values")
@@ -121,5 +133,5 @@ def alternatives(pool: DataFrame) -> DataFrame:
     entry = ["level", "func", "param", F.when(F.col("level") == "type", F.col("p_type")).alias("t")]
     values = pool.groupBy(*entry).agg(F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"))
     shown = F.filter(F.transform("values", lambda x: display(F.try_parse_json(x))), lambda x: x.isNotNull())
-    keyed = F.array_sort(F.transform(F.array_distinct(shown), lambda x: F.struct(F.sha1(x.cast("binary")).alias("h"), x.alias("x"))))
+    keyed = F.sort_array(F.transform(F.array_distinct(shown), lambda x: F.struct(F.sha1(x.cast("binary")).alias("h"), x.alias("x"))))
     return values.select("level", "func", "param", "t", F.transform(keyed, lambda e: e["x"]).alias("choices"))

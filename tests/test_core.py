@@ -408,6 +408,12 @@ def plan_after(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
+def test_the_pool_parses_each_call_once(spark):
+    docs, _ = pool_docs(spark)
+    for columns in ("*", "p_type observed", "cluster count", "values"):
+        assert plan_after(param_pool.pool_from_texts(docs).select(*columns.split())).count("Generate posexplode") == 1
+
+
 def test_small_tables_of_long_work_are_dealt_to_many_tasks(spark):
     from gristmill import queries
 
