@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import by_hash, let
-from ..functions.tools import CALL, CALL_CLOSE, call_args, call_payloads, param_schema, parse_call, required_params, tool_name, tool_specs, value_type
+from ..functions.tools import CALL, CALL_CLOSE, call_args, call_payloads, parse_call, required_params, tool_name, tool_specs, value_type
 from ..functions.variant import as_map, as_string, display, member, quoted
+from ..session import tasks_of
+from ..sources.sinks import stored
 from .filters import every_n
-from .param_pool import alternatives
+from .param_pool import alternatives, parsed_calls
 
 LETTERS = ("A", "B", "C", "D")
 MAX_NEGATIVES = 3
@@ -69,7 +71,7 @@ def args_json(args: Column, field: Column | None = None, value: Column | None =
 
 
 def value_negatives(called: DataFrame, pool: DataFrame, keys: list[str], most: int = MAX_NEGATIVES) -> DataFrame:
-    """Up to `most` wrong argument objects for each call (keys, name, args, schema, seed).
+    """Up to `most` wrong argument objects for each call (keys, name, args, schema, seed), none for calls without arguments.
 
     Each field in turn takes a value that the pool knows for it: of the function's
     parameter, else of any parameter of that name, else of the type, whichever
@@ -78,10 +80,11 @@ def value_negatives(called: DataFrame, pool: DataFrame, keys: list[str], most: i
     if not 0 < most <= MAX_NEGATIVES:
         raise ValueError(f"between 1 and {MAX_NEGATIVES} wrong options have letters")
     shown = F.transform_values(as_map(F.col("args")), lambda k, v: display(v))
-    fields = called.select(*keys, "name", "schema", "seed", shown.alias("shown"), F.explode(as_map(F.col("args"))).alias("field", "own"))
+    fields = called.select(*keys, "name", "schema", "seed", shown.alias("shown"), F.explode_outer(as_map(F.col("args"))).alias("field", "own"))
     declared = as_string(member(F.element_at("schema", F.col("field")), "type"))
     fields = fields.withColumn("t", F.coalesce(F.nullif(declared, F.lit("")), value_type(F.col("own")))).withColumn("own", display(F.col("own")))
-    choices = alternatives(pool)
+    # where the pool is small, Spark knows it and sends it to the calls; else they meet it in shuffled joins
+    choices = stored(alternatives(pool))
     level = lambda name, on, out: choices.where(F.col("level") == name).select(*[F.col(a).alias(b) for a, b in on], F.col("choices").alias(out))
     fields = fields.join(level("function", [("func", "name"), ("param", "field")], "c1"), ["name", "field"], "left")
     fields = fields.join(level("param", [("param", "field")], "c2"), "field", "left").join(level("type", [("t", "t")], "c3"), "t", "left")
@@ -117,15 +120,15 @@ def _questions(t: Column, key: Column, wrong: Column | None, prefer_values: bool
 
     def of_call(row: Column, call: Column, i: Column) -> Column:
         seed = F.concat(key.cast("string"), F.lit("|"), i.cast("string"))
-        seen = F.named_struct(F.lit("name"), F.coalesce(as_string(member(call, "name")), F.lit("")), F.lit("seed"), seed, F.lit("args"), call_args(call))
-        return let(seen, lambda c: asked(row, c, i))
+        seen = F.named_struct(F.lit("name"), F.coalesce(as_string(member(call, "name")), F.lit("")), F.lit("seed"), seed)
+        return let(seen, lambda c: asked(row, call, c, i))
 
-    def asked(row: Column, c: Column, i: Column) -> Column:
+    def asked(row: Column, call: Column, c: Column, i: Column) -> Column:
         required = F.coalesce(F.get(F.filter(row["specs"], lambda s: s["name"] == c["name"]), 0)["required"], none)
         ask_tool, ask_params = tool_question(c["name"], row["names"], c["seed"]), let(required, lambda r: params_question(r, c["seed"]))
         ask_values = F.lit(None).cast("string")
         if wrong is not None:
-            right = let(c["args"], lambda a: args_json(F.transform_values(as_map(a), lambda k, v: display(v))))
+            right = let(call_args(call), lambda a: args_json(F.transform_values(as_map(a), lambda k, v: display(v))))
             ask_values = let(F.coalesce(F.get(wrong, i), none), lambda w: F.when(F.size(w) > 0, let(right, lambda r: values_question(r, w, c["seed"]))))
         parts = (ask_tool, F.coalesce(ask_values, ask_params)) if prefer_values else (ask_tool, ask_params, ask_values)
         return F.concat(*[F.coalesce(q, F.lit("")) for q in parts])
@@ -145,12 +148,13 @@ def augment(docs: DataFrame, key: str = "uuid", text: str = "text", pool: DataFr
     rows, wrong = docs, None
     if pool is not None:
         own = ["__key", "__text"]
-        keyed = docs.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("__text", F.xxhash64(text))
-        cut = calls_of(keyed.select(*own, F.col(key).alias("__of"), t.alias("__t")))
-        asked = value_negatives(cut.where("args is not null").select(*own, "call_no", "name", "args", "schema", "seed"), pool, [*own, "call_no"], most)
+        # a text's calls and fields stay in its task from here on, unless the pool is too large to be sent to them
+        keyed = docs.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("__text", F.xxhash64(text)).repartition(tasks_of(docs.sparkSession), *own)
+        cut = keyed.select(*own, F.col(key).cast("string").alias("__of"), F.posexplode(parsed_calls(t)).alias("call_no", "call"))
+        cut = cut.select(*own, "call_no", "call.*", F.concat("__of", F.lit("|"), F.col("call_no").cast("string")).alias("seed"))
+        asked = value_negatives(cut, pool, [*own, "call_no"], most)
         # one list for each text: what is wrong for its first call, its second, ...
-        each = cut.select(*own, "call_no").join(asked, [*own, "call_no"], "left")
-        each = each.groupBy(*own).agg(F.transform(F.array_sort(F.collect_set(F.struct("call_no", "wrong"))), lambda e: e["wrong"]).alias("__wrong"))
+        each = asked.groupBy(*own).agg(F.transform(F.sort_array(F.collect_list(F.struct("call_no", "wrong"))), lambda e: e["wrong"]).alias("__wrong"))
         rows, wrong = keyed.join(each, own, "left"), F.coalesce("__wrong", F.array().cast("array<array<string>>"))
     pieces = F.named_struct(F.lit("gaps"), F.split(t, CALL, -1), F.lit("spans"), F.regexp_extract_all(t, F.lit(CALL), F.lit(0)), F.lit("asked"), _questions(t, F.col(key), wrong, prefer_values))
 
@@ -163,17 +167,6 @@ def augment(docs: DataFrame, key: str = "uuid", text: str = "text", pool: DataFr
     return rows.select(*[F.when(F.contains(t, F.lit(CALL_CLOSE)), let(pieces, whole)).otherwise(t).alias(c) if c == text else F.col(c) for c in docs.columns])
 
 
-def calls_of(rows: DataFrame) -> DataFrame:
-    """rows (with __of, a key, and __t, a text) with call_no, name, args, schema and seed of each call of the text; args null if it has none."""
-    info = F.transform(tool_specs(F.col("__t")), lambda s: F.named_struct(F.lit("name"), tool_name(s), F.lit("schema"), param_schema(s)))
-    cut = rows.select("*", info.alias("info"), F.posexplode(call_payloads(F.col("__t"))).alias("call_no", "payload")).drop("__t")
-    seen = let(parse_call(F.col("payload")), lambda c: F.named_struct(F.lit("name"), F.coalesce(as_string(member(c, "name")), F.lit("")), F.lit("args"), call_args(c)))
-    cut = cut.withColumn("call", seen)
-    own = F.filter("info", lambda s: s["name"] == F.col("call.name"))
-    seed = F.concat(F.col("__of").cast("string"), F.lit("|"), F.col("call_no").cast("string"))
-    return cut.select(*[c for c in rows.columns if c not in ("__of", "__t")], "call_no", "call.name", "call.args", F.when(F.size(own) > 0, F.element_at(own, -1)["schema"]).alias("schema"), seed.alias("seed"))
-
-
 def augment_every(docs: DataFrame, n: int, position: Column, key: str = "uuid", text: str = "text", pool: DataFrame | None = None, most: int = MAX_NEGATIVES) -> DataFrame:
     """M4: with n > 0 only rows at every n-th position are augmented, with values preferred; else all of them."""
     if n <= 0:

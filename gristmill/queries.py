@@ -11,6 +11,7 @@ from .functions import tools
 from .functions.variant import member
 from .operators import adapters, filters, mcq, param_pool, pretty, sampling
 from .plans import pipeline
+from .session import tasks_of
 from .sources import sinks
 from .sources.sinks import scratch
 from .sources.readers import read, read_json_array, read_jsonl
@@ -261,11 +262,6 @@ def q20_task_action_split(spark, sf_dir):
 # --- tool calls ----------------------------------------------------------------------------------------------------
 
 
-def tasks_of(spark) -> int:
-    """Tasks for rows that take long for their bytes, which would come a whole table to a task."""
-    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def call_texts(spark, sf_dir) -> DataFrame:
     """uuid and text: the events of each user as tool calls, in order."""
     call = F.concat(F.lit('<|tool_call|>\n{"name": "'), "event_type", F.lit('", "arguments": '), "props", F.lit("}\n</|tool_call|>"))

@@ -20,3 +20,8 @@ def session(name: str = "gristmill", **conf: str) -> SparkSession:
     if not any(k in os.environ for k in ("MASTER", "SPARK_MASTER")) and SparkSession.getActiveSession() is None and "spark.master" not in conf:
         builder = builder.config("spark.sql.shuffle.partitions", conf.get("spark.sql.shuffle.partitions", str(os.cpu_count() or 8)))
     return builder.getOrCreate()
+
+
+def tasks_of(spark: SparkSession) -> int:
+    """Tasks for rows that take long for their bytes, which would come a whole table to a task."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

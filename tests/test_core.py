@@ -414,6 +414,13 @@ def test_the_pool_parses_each_call_once(spark):
         assert plan_after(param_pool.pool_from_texts(docs).select(*columns.split())).count("Generate posexplode") == 1
 
 
+def test_questions_about_values_stay_with_their_text(spark):
+    docs, _ = pool_docs(spark)
+    plan = plan_after(mcq.augment(docs, pool=param_pool.pool_from_texts(docs)))
+    assert plan.count("Generate posexplode") == 1 and "SortMergeJoin [name" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 + plan.count("ReusedExchange")
+
+
 def test_small_tables_of_long_work_are_dealt_to_many_tasks(spark):
     from gristmill import queries
 
